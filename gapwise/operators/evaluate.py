@@ -43,23 +43,22 @@ def _ranges(df: DataFrame, score: str, label: str, ranges: int | None) -> DataFr
 
 
 def _running_totals(totals: DataFrame) -> DataFrame:
-    """Add to each range the totals of the ranges above it; one short array, one line per range."""
-    listed = totals.agg(F.array_sort(F.collect_list(F.struct("range", "pos", "neg"))).alias("t"))
-    above = F.transform(
-        "t",
-        lambda e: F.struct(
-            e["range"].alias("range"),
-            F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + F.when(x["range"] > e["range"], x["pos"]).otherwise(0)).alias("pos_above"),
-            F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + F.when(x["range"] > e["range"], x["neg"]).otherwise(0)).alias("neg_above"),
-            F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + x["pos"]).alias("positives"),
-            F.aggregate("t", F.lit(0).cast("bigint"), lambda a, x: a + x["neg"]).alias("negatives"),
-        ),
+    """Add to each range the totals above it and over all. There is one line per range, at
+    most ``ranges`` lines whatever the data, so one window over all of them is small.
+    """
+    above = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.orderBy(F.desc("range")).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return totals.select(
+        "range",
+        F.coalesce(F.sum("pos").over(above), F.lit(0)).alias("pos_above"),
+        F.coalesce(F.sum("neg").over(above), F.lit(0)).alias("neg_above"),
+        F.sum("pos").over(every).alias("positives"),
+        F.sum("neg").over(every).alias("negatives"),
     )
-    return listed.select(F.inline(above))
 
 
 def roc_points(df: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
-    """``score, tp, fp, tpr, fpr`` at every distinct score, highest first in meaning."""
+    """``score, tp, fp, tpr, fpr`` at every distinct score; counts cover that score and those above."""
     by_score = _ranges(df, score, label, ranges)
     totals = _running_totals(by_score.groupBy("range").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg")))
     down = Window.partitionBy("range").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)

@@ -38,7 +38,7 @@ class Scratch:
         return f"{self._root}/t{self._count}"
 
     def write(self, df: DataFrame) -> tuple[DataFrame, str]:
-        """Write ``df`` as parquet and return a frame that reads it back, with its path."""
+        """Write ``df`` as parquet; return the path and a frame of this session that reads it."""
         path = self.new_path()
         df.write.parquet(path)
         return self._spark.read.schema(df.schema).parquet(path), path
