@@ -16,7 +16,7 @@ from gapwise.operators.stage import check_schema
 
 
 def assembler(inputCols: list[str], outputCol: str = "features", handleInvalid: str = "skip") -> VectorAssembler:
-    """Spark's assembler. It stores a vector sparse when 1.5 * (nonzeros + 1) < size, leaving out zeros."""
+    """Spark's assembler. It leaves out zeros when that is smaller: if 1.5 * nonzeros + 2 < size (Spark 4.1)."""
     return VectorAssembler(inputCols=inputCols, outputCol=outputCol, handleInvalid=handleInvalid)
 
 
@@ -55,4 +55,5 @@ class SparseVectorAssembler(
         packed = sparse_struct([F.col(c) for c in self.getInputCols()], missing)
         if self.getOrDefault("form") == "vector":
             packed = to_sparse_vector(packed)
-        return df.withColumn(self.getOutputCol(), packed)
+        described = {"ml_attr": {"num_attrs": len(self.getInputCols())}}
+        return df.withColumn(self.getOutputCol(), packed).withMetadata(self.getOutputCol(), described)

@@ -12,10 +12,11 @@ from pyspark import keyword_only
 from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasHandleInvalid, HasInputCols, HasOutputCols
+from pyspark.ml.param.shared import HasHandleInvalid, HasInputCol, HasInputCols, HasOutputCol, HasOutputCols
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 from gapwise.operators.stage import check_schema
 from gapwise.scratch import Scratch
@@ -72,9 +73,37 @@ def ordinal_indexer(labels: list[str], inputCol: str, outputCol: str, handleInva
     return StringIndexerModel.from_labels(labels, inputCol, outputCol, handleInvalid)
 
 
-def label_indexer(df: DataFrame, inputCol: str, outputCol: str = "label") -> StringIndexerModel:
-    """Index the label; rows without one are dropped."""
-    return StringIndexer(inputCol=inputCol, outputCol=outputCol, handleInvalid="skip").fit(df)
+class LabelModel(Model, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """Indexes the label and drops rows without a known one.
+
+    A frame that has no label column at all passes through, so that a fitted pipeline can
+    score rows whose label is not known yet.
+    """
+
+    labelsInOrder = Param(
+        Params._dummy(), "labelsInOrder", "label texts by index", typeConverter=TypeConverters.toListString
+    )
+
+    @keyword_only
+    def __init__(self, *, inputCol=None, outputCol="label", labelsInOrder=None):
+        super().__init__()
+        self._set(**self._input_kwargs)
+
+    @property
+    def labels(self) -> list[str]:
+        return self.getOrDefault("labelsInOrder")
+
+    def _transform(self, df: DataFrame) -> DataFrame:
+        if self.getInputCol() not in df.columns:
+            return df
+        inner = StringIndexerModel.from_labels(self.labels, self.getInputCol(), self.getOutputCol(), "skip")
+        return inner.transform(df)
+
+
+def label_indexer(df: DataFrame, inputCol: str, outputCol: str = "label") -> LabelModel:
+    """Index the label by frequency; rows without one are dropped."""
+    fitted = StringIndexer(inputCol=inputCol, outputCol=outputCol, handleInvalid="skip").fit(df)
+    return LabelModel(inputCol=inputCol, outputCol=outputCol, labelsInOrder=list(fitted.labels))
 
 
 def label_text(labels: list[str], inputCol: str = "prediction", outputCol: str = "predicted_income") -> IndexToString:
@@ -178,21 +207,21 @@ def _attach_index(df: DataFrame, column: str, out: str, dictionary: DataFrame, s
     head_model = StringIndexerModel.from_labels([r["value"] for r in head], column, "_head", "keep")
     df = head_model.transform(df)
     open_row = (F.col("_head") == len(head)) & F.col(column).isNotNull()
-    lanes = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tail = dictionary.filter(F.col("idx") >= limit).select(
-        F.col("value").alias("_value"), F.lit(0).alias("_value_lane"), F.col("idx").cast("double").alias("_tail")
+    # Settled rows need no match. They get keys of their own kind, spread by content, so that
+    # neither a frequent value nor null gathers in one join task.
+    lanes = 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    content = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
+    lane = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(lanes))
+    keyed = df.withColumn(
+        "_key",
+        F.when(open_row, F.concat(F.lit("="), F.col(column).cast("string"))).otherwise(F.concat(F.lit("~"), lane)),
     )
-    keyed = df.withColumns(
-        {
-            "_key": F.when(open_row, F.col(column).cast("string")),
-            "_lane": F.when(open_row, F.lit(0)).otherwise(F.pmod(F.spark_partition_id(), F.lit(lanes))),
-        }
-    )
-    joined = keyed.join(
-        tail, (F.col("_key") == F.col("_value")) & (F.col("_lane") == F.col("_value_lane")), "left"
+    tail = dictionary.filter(F.col("idx") >= limit).select(
+        F.concat(F.lit("="), F.col("value")).alias("_key"), F.col("idx").cast("double").alias("_tail")
     )
+    joined = keyed.join(tail, "_key", "left")
     index = F.when(F.col("_head") < len(head), F.col("_head")).otherwise(F.coalesce("_tail", F.lit(float(size))))
-    return joined.withColumn(out, index).drop("_head", "_key", "_lane", "_value", "_value_lane", "_tail")
+    return joined.withColumn(out, index).drop("_head", "_key", "_tail")
 
 
 def rare_to_other(df: DataFrame, column: str, out: str, min_share: float, other: str = "other") -> DataFrame:

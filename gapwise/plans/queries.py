@@ -461,7 +461,7 @@ def sparse_to_dense(spark, sf_dir):
     "vector_density",
     f"""WITH {FEATURES_SQL}, n AS (SELECT k, (b % 2 <> 0)::INT + (b % 3 <> 0)::INT + (b % 5 <> 0)::INT + (b % 7 <> 0)::INT
         + (cust IS NULL OR cust % 4 <> 0)::INT AS nonzeros FROM feat)
-      SELECT k, CASE WHEN 1.5 * (nonzeros + 1) < 5 THEN nonzeros ELSE 5 END AS stored, 1.5 * (nonzeros + 1) < 5 AS is_sparse FROM n""",
+      SELECT k, CASE WHEN 1.5 * nonzeros + 2 < 5 THEN nonzeros ELSE 5 END AS stored, 1.5 * nonzeros + 2 < 5 AS is_sparse FROM n""",
 )
 def vector_density(spark, sf_dir):
     parts = vector_parts(F.col("features"))
