@@ -1,7 +1,7 @@
 from gapwise.operators.boost.classifier import BoostedTreeClassifier, BoostedTreeModel
 from gapwise.operators.boost.features import bin_columns, feature_columns
 from gapwise.operators.boost.plain import plain_boosted_trees
-from gapwise.operators.boost.splits import best_splits, gradient_histogram, split_candidates
+from gapwise.operators.boost.splits import best_splits, gradient_histogram, search_splits, split_candidates
 
 __all__ = [
     "BoostedTreeClassifier",
@@ -11,5 +11,6 @@ __all__ = [
     "feature_columns",
     "gradient_histogram",
     "plain_boosted_trees",
+    "search_splits",
     "split_candidates",
 ]

@@ -2,9 +2,10 @@
 
 Each tree level is one Spark job: rows are routed, differentiated and summed into a
 histogram (``splits``), and one line per node comes back. Rows are binned once and kept as
-a compact table in the shared checkpoint folder. Their margins are that table's margins
-plus the few trees grown since it was written, so no plan grows with the number of rounds
-and a lost executor costs only its own tasks.
+a compact table in the shared checkpoint folder. Each round moves their margins by one
+tree, in a cached copy of the table that the round's first level fills on its way; every
+few rounds the table is written anew, so no lineage grows with the number of rounds and a
+lost executor costs its own partitions, recomputed from the last written table.
 """
 
 from __future__ import annotations
@@ -31,10 +32,10 @@ from pyspark.storagelevel import StorageLevel
 from gapwise.functions.missing import NAN
 from gapwise.operators.boost import features as ft
 from gapwise.operators.boost import splits as sp
-from gapwise.operators.boost.trees import EXPRESSION_SPLITS, Tree, margin_columns, node_at, weight_by_bin
+from gapwise.operators.boost.trees import Tree, descent, in_play, margin_columns, weight_at
 from gapwise.scratch import Scratch
 
-ONE_TASK_LINES = 200_000  # histogram lines that one task may search for splits
+FETCHED_LINES = 100_000  # histogram lines per level that the driver may fetch and search
 ROWS_PER_PARTITION = 4_000_000  # binned rows are a few bytes per feature
 
 # Option names of the settings map, and the parameter each one sets.
@@ -99,7 +100,7 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
     allowNonZeroForMissing = _param(
         "allowNonZeroForMissing", "consent to a missing value other than 0", TypeConverters.toBoolean
     )
-    rewriteInterval = _param("rewriteInterval", "most rounds between rewrites of the training table", TypeConverters.toInt)
+    rewriteInterval = _param("rewriteInterval", "rounds between rewrites of the training table", TypeConverters.toInt)
     cutPoints = _param("cutPoints", "JSON list of cut points per feature; found if unset", TypeConverters.toString)
 
     @keyword_only
@@ -236,35 +237,29 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         table, path = scratch.write(binned.withColumns({m: F.lit(0.0) for m in margins.values()}).repartition(parts))
         table = table.persist(StorageLevel.MEMORY_AND_DISK)
         trees: list[Tree] = []
-        recent: list[Tree] = []  # grown since the table was written
-        rewrite = min(get("rewriteInterval"), max(1, EXPRESSION_SPLITS // (len(classes) * (2 ** get("maxDepth") - 1))))
-
-        def current() -> dict[int, str]:
-            return {
-                k: " + ".join([m, *[weight_by_bin(t, bins) for t in recent if t.label_class == k]])
-                for k, m in margins.items()
-            }
-
+        growing: dict[int, Tree] = {}
+        held = [table]  # cached tables; the last one is in use
         try:
             for number in range(get("numRound")):
-                if len(recent) >= rewrite * len(classes):
-                    now = current()
-                    moved = table.selectExpr("y", *bins, *[f"{now[k]} AS {m}" for k, m in margins.items()])
-                    old_table, old_path = table, path
-                    table, path = scratch.write(moved)
-                    table = table.persist(StorageLevel.MEMORY_AND_DISK)
-                    old_table.unpersist()
-                    scratch.drop(old_path)
-                    recent = []
-                now = current()
+                old_path = path
+                if number:
+                    moved = _add_weights(held[-1], bins, growing, get("maxDepth"))
+                    if number % get("rewriteInterval") == 0:
+                        moved, path = scratch.write(moved)
+                    held.append(moved.persist(StorageLevel.MEMORY_AND_DISK))
                 growing = {k: Tree(number, k) for k in classes}
                 for depth in range(get("maxDepth")):
-                    if not self._grow_level(table, bins, cuts, now, growing, depth, scale):
+                    found = self._grow_level(held[-1], bins, cuts, growing, depth, scale)
+                    if len(held) > 1:  # the round's first level has filled the new cache
+                        held.pop(0).unpersist()
+                        if old_path != path:
+                            scratch.drop(old_path)
+                    if not found:
                         break
-                recent += growing.values()
                 trees += growing.values()
         finally:
-            table.unpersist()
+            for cached in held:
+                cached.unpersist()
             scratch.drop(path)
         return trees
 
@@ -273,22 +268,21 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         table: DataFrame,
         bins: list[str],
         cuts: list[list[float]],
-        margins: dict[int, str],
         growing: dict[int, Tree],
         depth: int,
         scale: float,
     ) -> bool:
         """Split the nodes of one level in all of the round's trees; False if none was split."""
         get = self.getOrDefault
-        histogram = sp.gradient_histogram(_derivatives(table, bins, margins, growing, depth, scale))
-        lines = len(margins) * 2**depth * sum(len(c) + 2 for c in cuts)
-        if lines <= ONE_TASK_LINES:  # bounded by the settings, so one task can search all nodes
-            histogram = histogram.repartition(1)
-        candidates = sp.split_candidates(
-            histogram, scale, get("regLambda"), get("gamma"), get("minChildWeight")
-        )
+        histogram = sp.gradient_histogram(_derivatives(table, bins, growing, depth, scale))
+        rules = (scale, get("regLambda"), get("gamma"), get("minChildWeight"))
+        lines = len(growing) * 2**depth * sum(len(c) + 2 for c in cuts)
+        if lines <= FETCHED_LINES:  # bounded by the model's settings, whatever the number of rows
+            best = sp.search_splits(histogram.toArrow(), *rules)
+        else:
+            best = [r.asDict() for r in sp.best_splits(sp.split_candidates(histogram, *rules)).collect()]
         found = False
-        for row in sp.best_splits(candidates).collect():
+        for row in best:
             tree, node = growing[row["class"]], row["node"]
             if node == 1:
                 tree.weights[1] = self._weight(row["total_g"], row["total_h"])
@@ -317,30 +311,34 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         return -self.getOrDefault("eta") * g / (h + self.getOrDefault("regLambda"))
 
 
+def _add_weights(table: DataFrame, bins: list[str], trees: dict[int, Tree], depth: int) -> DataFrame:
+    """The training table with each class's margin moved by its newest tree."""
+    walks = [item for k, t in trees.items() for item in descent(t, depth, f"_{k}")]
+    moved = table.selectExpr("*", f"array({', '.join(bins)}) AS bins", *walks)
+    return moved.selectExpr("y", *bins, *[f"m{k} + {weight_at(t, depth, f'_{k}')} AS m{k}" for k, t in trees.items()])
+
+
 def _derivatives(
-    table: DataFrame,
-    bins: list[str],
-    margins: dict[int, str],
-    growing: dict[int, Tree],
-    depth: int,
-    scale: float,
+    table: DataFrame, bins: list[str], growing: dict[int, Tree], depth: int, scale: float
 ) -> DataFrame:
     """``class, node, g, h, bins`` for each row and modelled class that is still in play."""
-    packed = f"array({', '.join(bins)}) AS bins"
-    nodes = {k: node_at(t, bins, depth) for k, t in growing.items()}
-    if len(margins) == 1:
-        (k,) = margins
-        shares = table.selectExpr(
-            "y", packed, f"{k} AS class", f"{nodes[k]} AS node", f"1 / (1 + exp(-2 * ({margins[k]}))) AS p"
+    walks = [item for k, t in growing.items() for item in descent(t, depth, f"_{k}")]
+    walked = table.selectExpr("*", f"array({', '.join(bins)}) AS bins", *walks)
+    if len(growing) == 1:
+        ((k, tree),) = growing.items()
+        shares = walked.filter(in_play(tree, depth, f"_{k}")).selectExpr(
+            "y", "bins", f"{k} AS class", f"n{depth}_{k} AS node", f"1 / (1 + exp(-2 * m{k})) AS p"
         )
     else:
-        raw = table.selectExpr("y", packed, *[f"{nodes[k]} AS n{k}" for k in margins], *[f"{m} AS r{k}" for k, m in margins.items()])
-        top = ", ".join(f"r{k}" for k in margins)
-        powers = raw.selectExpr("*", *[f"exp(r{k} - greatest({top})) AS e{k}" for k in margins])
-        total = " + ".join(f"e{k}" for k in margins)
-        lines = ", ".join(f"struct({k} AS class, n{k} AS node, e{k} / ({total}) AS p)" for k in margins)
-        shares = powers.selectExpr("y", "bins", f"inline(array({lines}))")
-    return shares.filter("node IS NOT NULL").selectExpr(
+        top = ", ".join(f"m{k}" for k in growing)
+        powers = walked.selectExpr("*", *[f"exp(m{k} - greatest({top})) AS e{k}" for k in growing])
+        total = " + ".join(f"e{k}" for k in growing)
+        lines = ", ".join(
+            f"struct({k} AS class, if({in_play(t, depth, f'_{k}')}, n{depth}_{k}, NULL) AS node, e{k} / ({total}) AS p)"
+            for k, t in growing.items()
+        )
+        shares = powers.selectExpr("y", "bins", f"inline(array({lines}))").filter("node IS NOT NULL")
+    return shares.selectExpr(
         "class",
         "node",
         f"{sp.fixed_point('p - if(y = class, 1D, 0D)', scale)} AS g",

@@ -6,7 +6,6 @@ and value it cuts at, the side for missing values and its gain; a leaf keeps its
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -27,9 +26,6 @@ class Tree:
     splits: dict[int, dict] = field(default_factory=dict)
     weights: dict[int, float] = field(default_factory=dict)
 
-    def depth_of(self, node: int) -> int:
-        return node.bit_length() - 1
-
     def as_dict(self) -> dict:
         return {
             "round": self.round,
@@ -48,24 +44,44 @@ class Tree:
         )
 
 
-def _bin_text(tree: Tree, bins: list[str], node: int, end: Callable[[int], str]) -> str:
-    split = tree.splits.get(node)
-    if split is None:
-        return end(node)
-    b = bins[split["feature"]]
-    test = f"{b} <= {split['bin']}" if split["default_left"] else f"{b} BETWEEN 0 AND {split['bin']}"
-    left, right = (_bin_text(tree, bins, child, end) for child in (2 * node, 2 * node + 1))
-    return f"CASE WHEN {test} THEN {left} ELSE {right} END"
+def _list(values: list) -> str:
+    return f"array({', '.join(str(v).lower() if isinstance(v, bool) else str(v) for v in values)})"
 
 
-def node_at(tree: Tree, bins: list[str], depth: int) -> str:
-    """SQL text for the node of a binned row at ``depth``; null if its path has ended above."""
-    return _bin_text(tree, bins, 1, lambda n: str(n) if tree.depth_of(n) == depth else "CAST(NULL AS INT)")
+def descent(tree: Tree, depth: int, tag: str) -> list[str]:
+    """SQL select items ``n0<tag>`` to ``n<depth><tag>``: the node of a row at each level.
 
-
-def weight_by_bin(tree: Tree, bins: list[str]) -> str:
-    """SQL text for the weight of a binned row."""
-    return _bin_text(tree, bins, 1, lambda n: f"{tree.weights[n]!r}D")
+    They refer to the row's ``bins``. A path that has ended goes on to the left. The tree
+    enters as constant arrays, which Spark hands to its generated code as data: the code is
+    the same for every tree, so it is compiled once and stays hot from round to round.
+    """
+    items = [f"1 AS n0{tag}"]
+    for level in range(depth):
+        splits = [tree.splits.get(n) for n in range(2**level, 2 ** (level + 1))]
+        feature = _list([s["feature"] if s else 0 for s in splits])
+        low = _list([0 if s and not s["default_left"] else -1 for s in splits])
+        high = _list([s["bin"] if s else 32767 for s in splits])
+        node = f"n{level}{tag}"
+        place = f"{node} - {2**level}"
+        left = f"get(bins, get({feature}, {place})) BETWEEN get({low}, {place}) AND get({high}, {place})"
+        items.append(f"2 * {node} + if({left}, 0, 1) AS n{level + 1}{tag}")
+    return items
+
+
+def in_play(tree: Tree, depth: int, tag: str) -> str:
+    """SQL test for rows whose node at ``depth`` exists and may still be split."""
+    exists = [depth == 0 or n in tree.weights for n in range(2**depth, 2 ** (depth + 1))]
+    return f"get({_list(exists)}, n{depth}{tag} - {2**depth})"
+
+
+def weight_at(tree: Tree, depth: int, tag: str) -> str:
+    """SQL text for the weight of a row that has gone down to ``depth``."""
+    weights = []
+    for n in range(2**depth, 2 ** (depth + 1)):
+        while n not in tree.weights:
+            n //= 2
+        weights.append(f"{tree.weights[n]!r}D")
+    return f"get({_list(weights)}, n{depth}{tag} - {2**depth})"
 
 
 def weight_by_value(tree: Tree, values: dict[int, Column], node: int = 1) -> Column:

@@ -14,8 +14,10 @@ from gapwise.operators.boost import (
     best_splits,
     bin_columns,
     gradient_histogram,
+    search_splits,
     split_candidates,
 )
+from gapwise.operators.boost import classifier as cl
 from gapwise.operators.boost import trees as tr
 from gapwise.operators.boost.features import cut_points
 from gapwise.operators.evaluate import area_under_roc, class_score
@@ -67,7 +69,10 @@ def test_best_split_matches_brute_force(spark, seed):
         (F.pmod(F.xxhash64("id", F.lit(f"h{seed}")), F.lit(5)) + 1).alias("h"),
         F.array(*[(F.pmod(F.xxhash64("id", F.lit(f"{i}{seed}")), F.lit(6)) - 1).cast("int") for i in range(3)]).alias("bins"),
     )
-    found = best_splits(split_candidates(gradient_histogram(rows), 1.0, 1.0, 0.0, 1.0)).first()
+    histogram = gradient_histogram(rows)
+    found = best_splits(split_candidates(histogram, 1.0, 1.0, 0.0, 1.0)).first()
+    (fetched,) = search_splits(histogram.toArrow(), 1.0, 1.0, 0.0, 1.0)
+    assert fetched == found.asDict()
     want = brute_best([r.asDict() for r in rows.collect()], 5)
     got = (round(found["gain"], 9), -found["feature"], -found["bin"], found["default_left"])
     assert got == pytest.approx(want)
@@ -99,6 +104,13 @@ def test_same_trees_from_any_layout_and_input_form(spark, points):
     assert auc(dense, vectors) == auc(one, points)
 
 
+def test_fetched_and_distributed_split_search_agree(points, monkeypatch):
+    kw = dict(inputCols=["a", "b"], numRound=2, maxDepth=3, cutPoints=CUTS)
+    near = BoostedTreeClassifier(**kw).fit(points).getOrDefault("trees")
+    monkeypatch.setattr(cl, "FETCHED_LINES", 0)
+    assert BoostedTreeClassifier(**kw).fit(points).getOrDefault("trees") == near
+
+
 def test_rewriting_the_table_changes_nothing(points):
     kw = dict(inputCols=["a", "b"], numRound=4, maxDepth=2, cutPoints=CUTS)
     assert (
