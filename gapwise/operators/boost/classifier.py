@@ -162,6 +162,12 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
             chosen["allowNonZeroForMissing"] = chosen["allowNonZeroForMissing"].lower() == "true"
         return cls(**chosen, **params)
 
+    def setFeaturesCol(self, value: str):
+        return self._set(featuresCol=value)
+
+    def setLabelCol(self, value: str):
+        return self._set(labelCol=value)
+
     def _check(self) -> None:
         get = self.getOrDefault
         if get("objective") != "multi:softprob":

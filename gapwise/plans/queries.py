@@ -150,10 +150,10 @@ def csv_roundtrip_scan(spark, sf_dir):
 
 
 @query(
-    "random_split_check",
+    "random_split_sizes",
     "SELECT count(*) AS rows_total, count(*) AS rows_in_sides, 0::BIGINT AS keys_in_both, true AS both_sides_used FROM orders",
 )
-def random_split_check(spark, sf_dir):
+def random_split_sizes(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").select("o_orderkey")
     sides = [s.withColumn("side", F.lit(i)) for i, s in enumerate(random_split(orders, [0.8, 0.2], 123))]
     per_key = sides[0].unionByName(sides[1]).groupBy("o_orderkey").agg(
@@ -657,7 +657,7 @@ for _name, _kept in _KEPT.items():
         f"""WITH {FEATURES_SQL} SELECT count(*) AS rows_scored, count(*) AS rows_labelled, true AS auc_above_0_9,
           true AS mostly_right FROM clean WHERE {_bucket_sql('k', 'split')} >= 80 AND {_kept}""",
     )(_variant(_name))
-query("model_plain_trees", ORACLES["model_drop_missing"])(
+query("gbt_predict", ORACLES["model_drop_missing"])(
     _variant("drop_missing", lambda: plain_boosted_trees(maxIter=QUERY_ROUNDS))
 )
 
