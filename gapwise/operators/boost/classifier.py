@@ -186,7 +186,6 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         names = [f"b{i}" for i in range(size)]
         label = F.col(self.getLabelCol())
 
-        # Labels, rows, NaN beside zero, and the spread of every feature, all from one pass.
         nan_seen = F.greatest(F.lit(False), *[F.coalesce(F.isnan(c), F.lit(False)) for c in raw])
         present = ft.apply_missing(raw, get("missing"))
         train = df.select(
@@ -195,6 +194,28 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
             (nan_seen if get("missing") == 0 else F.lit(False)).alias("nan_seen"),
             *[c.alias(n) for c, n in zip(present, names)],
         )
+        train = train.persist(StorageLevel.MEMORY_AND_DISK)  # three passes, one evaluation of the source
+        try:
+            cuts, rows = self._facts(train, names)
+            trees = self._grow(spark, ft.bin_columns(train.drop("bad", "nan_seen"), names, cuts), names, cuts, rows, train)
+        finally:
+            train.unpersist()
+        model = BoostedTreeModel(
+            trees=json.dumps([t.as_dict() for t in trees]),
+            numFeatures=size,
+            **{p: get(p) for p in ("labelCol", "numClass", "missing", "absent")},
+            **{p: get(p) for p in ("featuresCol", "predictionCol", "probabilityCol", "rawPredictionCol")},
+        )
+        if isinstance(chosen, list):
+            model._set(inputCols=chosen)
+        return model
+
+    def _facts(self, train: DataFrame, names: list[str]) -> tuple[list[list[float]], int]:
+        """Cut points and number of rows, after checking what must hold before training.
+
+        Labels, rows, NaN beside zero and the spread of every feature come from one pass.
+        """
+        get = self.getOrDefault
         given = json.loads(get("cutPoints")) if self.isSet("cutPoints") else None
         facts = train.agg(
             F.count(F.lit(1)).alias("rows"),
@@ -208,26 +229,16 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
             raise ValueError(f"{facts['bad']} rows have a label that is null or not one of 0..{get('numClass') - 1}")
         if facts["nan_seen"]:
             raise ValueError("missing is 0 but the features hold NaN as well; replace one of the two first")
-        train = train.drop("bad", "nan_seen")
         if given:
             cuts = [sorted(float(v) for v in c) for c in given]
-            if len(cuts) != size:
-                raise ValueError(f"cutPoints has {len(cuts)} lists for {size} features")
+            if len(cuts) != len(names):
+                raise ValueError(f"cutPoints has {len(cuts)} lists for {len(names)} features")
         else:
             cuts = ft.cut_points(train, names, get("maxBins"), facts)
-        trees = self._grow(spark, ft.bin_columns(train, names, cuts), names, cuts, facts["rows"])
-        model = BoostedTreeModel(
-            trees=json.dumps([t.as_dict() for t in trees]),
-            numFeatures=size,
-            **{p: get(p) for p in ("labelCol", "numClass", "missing", "absent")},
-            **{p: get(p) for p in ("featuresCol", "predictionCol", "probabilityCol", "rawPredictionCol")},
-        )
-        if isinstance(chosen, list):
-            model._set(inputCols=chosen)
-        return model
+        return cuts, facts["rows"]
 
     def _grow(
-        self, spark: SparkSession, binned: DataFrame, bins: list[str], cuts: list[list[float]], rows: int
+        self, spark: SparkSession, binned: DataFrame, bins: list[str], cuts: list[list[float]], rows: int, source: DataFrame
     ) -> list[Tree]:
         get = self.getOrDefault
         classes = [1] if get("numClass") == 2 else list(range(get("numClass")))
@@ -241,6 +252,7 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         levels.conf.set("spark.sql.shuffle.partitions", str(min(512, max(1, parts // 64))))
         scratch = Scratch(levels)
         table, path = scratch.write(binned.withColumns({m: F.lit(0.0) for m in margins.values()}).repartition(parts))
+        source.unpersist()
         table = table.persist(StorageLevel.MEMORY_AND_DISK)
         trees: list[Tree] = []
         growing: dict[int, Tree] = {}

@@ -23,11 +23,10 @@ def with_side(df: DataFrame, key: str, weights: list[int], salt: str = "split",
     """
     if sum(weights) != 100 or any(w < 0 for w in weights):
         raise ValueError("weights must be non-negative percentages that add up to 100")
-    bucket = md5_bucket(F.col(key), 100, salt)
     side = F.lit(len(weights) - 1)
     for i, bound in reversed(list(enumerate(list(accumulate(weights))[:-1]))):
-        side = F.when(bucket < bound, F.lit(i)).otherwise(side)
-    return df.withColumn(name, side)
+        side = F.when(F.col("_bucket") < bound, F.lit(i)).otherwise(side)
+    return df.withColumn("_bucket", md5_bucket(F.col(key), 100, salt)).withColumn(name, side).drop("_bucket")
 
 
 def hash_split(df: DataFrame, key: str, weights: list[int], salt: str = "split") -> list[DataFrame]:

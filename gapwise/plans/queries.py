@@ -76,19 +76,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    b = md5_bucket(key)
+    hashed = table(spark, sf_dir, "orders").select(
+        "*", *[md5_bucket(key, 100, salt).alias(f"b{salt or 0}") for salt in ("", "c", "p", "l")]
+    )
+    b = F.col("b0")
     price = F.when(b == 0, None).when(b == 1, F.lit(float("nan"))).otherwise(F.col("o_totalprice"))
     high = F.col("o_totalprice") + 3 * F.col("o_custkey") + 2000 * b > 300000
-    return orders.select(
+    return hashed.select(
         key.alias("k"),
         price.alias("price"),
-        F.when(md5_bucket(key, 100, "c") != 0, F.col("o_custkey").cast("double")).alias("cust"),
+        F.when(F.col("bc") != 0, F.col("o_custkey").cast("double")).alias("cust"),
         b.cast("double").alias("b"),
-        F.when(md5_bucket(key, 100, "p") != 0, F.col("o_orderpriority")).alias("priority"),
+        F.when(F.col("bp") != 0, F.col("o_orderpriority")).alias("priority"),
         F.col("o_orderstatus").alias("status"),
-        F.when(md5_bucket(key, 100, "l") != 0, F.when(high, "high").otherwise("low")).alias("label_text"),
+        F.when(F.col("bl") != 0, F.when(high, "high").otherwise("low")).alias("label_text"),
     )
 
 
