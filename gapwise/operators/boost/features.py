@@ -60,7 +60,7 @@ def apply_missing(columns: list[Column], missing: float) -> list[Column]:
 def spread(names: list[str], max_bins: int) -> list[Column]:
     """Mergeable aggregates from which ``cut_points`` starts: distinct counts and quantiles."""
     steps = [i / max_bins for i in range(max_bins + 1)]
-    return [F.approx_count_distinct(n, 0.02).alias(f"distinct_{n}") for n in names] + [
+    return [F.approx_count_distinct(n, 0.05).alias(f"distinct_{n}") for n in names] + [
         F.percentile_approx(n, steps, 50 * max_bins).alias(f"quantiles_{n}") for n in names
     ]
 

@@ -24,7 +24,7 @@ def fixed_point_scale(rows: int) -> float:
 
 def fixed_point(text: str, scale: float) -> str:
     """SQL text for a derivative as an integer multiple of ``1 / scale``."""
-    return f"CAST(ROUND(({text}) * {scale!r}D) AS BIGINT)"
+    return f"CAST(RINT(({text}) * {scale!r}D) AS BIGINT)"
 
 
 def gradient_histogram(rows: DataFrame) -> DataFrame:
