@@ -1,8 +1,7 @@
 """Standard scores under an explicit missing-value policy.
 
-Two points differ from the notebooks on purpose. ``skip`` really drops NaN, and the
-replacement really replaces NaN, not only null. A constant column scores 0 instead of
-dividing by zero.
+``skip`` drops NaN as well as null, and the replacement replaces NaN as well as null. A
+constant column scores 0 instead of dividing by zero.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""The five ways to prepare features and train that the notebooks compare.
+"""The five ways to prepare features and train that are to be compared.
 
 =================  =========================  ==============  =======================
 variant            numeric stage              assembler       missing for the trainer
