@@ -19,7 +19,7 @@ def with_side(df: DataFrame, key: str, weights: list[int], salt: str = "split",
     """Tag each row with its side, 0, 1, ..., by its key alone.
 
     ``weights`` are whole percentages that add up to 100. The same key lands on the same
-    side in every run, layout and notebook.
+    side in every run and layout.
     """
     if sum(weights) != 100 or any(w < 0 for w in weights):
         raise ValueError("weights must be non-negative percentages that add up to 100")
