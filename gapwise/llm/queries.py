@@ -3,14 +3,58 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from gapwise.llm import pii, toxicity
 from gapwise.llm.common import table
+from gapwise.llm.mixing import mix
 from gapwise.llm.near_text import near_duplicates
+from gapwise.llm.packing import pack
 
 
 def op3_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=2, percent=80)
 
 
-QUERIES = {"op3_near_text": op3_near_text}
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents, _ = mix(table(spark, sf_dir, "documents"), weights=(5, 2, 1), most=3.0)
+    return documents.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
+
+
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
+    score = F.col("toxicity.score")
+    return toxicity.scored(docs.select("doc_id", "text"), model).select(
+        "doc_id",
+        F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(5)) == 0, F.lit(False)).alias("held_out"),
+        score.alias("score"),
+        (score >= 0.5).cast("int").alias("predicted"),
+        F.col("toxicity.offending").alias("offending"),
+    )
+
+
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = pii.findings(docs, pii.disclosing_terms(docs))
+    return found.select(
+        "doc_id",
+        *[F.size(f"pii_{k}").cast("long").alias(f"n_{k}") for k in pii.PATTERNS],
+        F.sha2(pii.written(F.col("base")).cast("binary"), 256).alias("base_sha256"),
+        pii.written(F.col("found")).alias("spans"),
+    )
+
+
+QUERIES = {
+    "op3_near_text": op3_near_text,
+    "op4_mixing": op4_mixing,
+    "op5_packing": op5_packing,
+    "op7_toxicity": op7_toxicity, "op9_pii": op9_pii,
+}
 ORACLES: dict[str, str] = {}
