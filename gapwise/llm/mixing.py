@@ -5,7 +5,7 @@
 2. *Blocks.* Each source's documents fall into blocks by hash, about ``block_docs`` each. A
    target of a full passes and a rest takes every block a times and, of one more pass, the
    blocks in a drawn order up to the rest; the block that the rest ends in is cut between
-   two documents. So a source's quota of blocks is exact, whatever the layout of the data.
+   two documents, and at most three more documents fill the gap that leaves. So a source's quota of blocks is exact, whatever the layout of the data.
 3. *Splitting tree.* The quotas of all sources are divided among the output shards by halving:
    a node with n shards below hands its left child the block quotas of a draw without
    replacement (multivariate hypergeometric) of that child's exact share. Every draw's seed
@@ -76,10 +76,6 @@ def targets(sources: DataFrame, weights: tuple[float, ...], most: float, scratch
     return weighed.select("source", "source_size", target.alias("target"))
 
 
-def _same(a: str, b: str):
-    return F.col(a).eqNullSafe(F.col(b))
-
-
 def _cut(docs: DataFrame, rest: DataFrame, scratch: Scratch) -> DataFrame:
     """For each source, the place up to which its documents' sizes fit in ``rest``.
 
@@ -110,7 +106,30 @@ def _cut(docs: DataFrame, rest: DataFrame, scratch: Scratch) -> DataFrame:
             (F.col("low") + F.coalesce(F.col("digit") + 1, F.lit(0)) * step).alias("low"),
         )
         state, _ = scratch.write(moved)
-    return state.select("source", F.col("low").alias("limit"))
+    return state.select("source", F.col("low").alias("limit"), F.col("rest").alias("left"))
+
+
+def _fillers(places: DataFrame, limits: DataFrame, scratch: Scratch, rounds: int = 3) -> DataFrame:
+    """Single documents that fill what a cut between two documents leaves: the largest that fits, thrice.
+
+    One line for each source and round: source, place.
+    """
+    chosen = None
+    state = limits.select(F.col("source").alias("s"), "limit", "left")
+    for _ in range(rounds):
+        fits = places.join(state, F.col("source").eqNullSafe(F.col("s"))).filter((F.col("place") >= F.col("limit")) & (F.col("size") <= F.col("left")))
+        if chosen is not None:
+            used = chosen.select(F.col("source").alias("us"), F.col("place").alias("up"))
+            fits = fits.join(used, F.col("source").eqNullSafe(F.col("us")) & (F.col("place") == F.col("up")), "left_anti")
+        best, _ = scratch.write(fits.groupBy("s").agg(F.max(F.struct("size", "place")).alias("b")).select(F.col("s").alias("source"), "b.place", "b.size"))
+        state, _ = scratch.write(
+            state.join(best.select(F.col("source").alias("bs"), "size"), F.col("s").eqNullSafe(F.col("bs")), "left").select(
+                "s", "limit", (F.col("left") - F.coalesce("size", F.lit(0))).alias("left")
+            )
+        )
+        best = best.select("source", "place")
+        chosen = best if chosen is None else chosen.union(best)
+    return chosen
 
 
 def _tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:
@@ -165,7 +184,11 @@ def mix(
         .withColumn("bits", bits)
         .withColumn("source_key", F.xxhash64("source", F.col("source").isNull()))
     )
-    limits = _cut(sized.filter("size > 0"), planned.select("source", "rest"), scratch).withColumnRenamed("source", "s")
+    # equal rows share a place and are taken together
+    places, _ = scratch.write(sized.filter("size > 0").groupBy("source", "place").agg(F.sum("size").alias("size")))
+    limits = _cut(places, planned.select("source", "rest"), scratch)
+    extra = _fillers(places, limits, scratch).select(F.col("source").alias("es"), F.col("place").alias("ep"), F.lit(1).alias("extra"))
+    limits = limits.withColumnRenamed("source", "s").drop("left")
     plan, _ = scratch.write(planned.join(limits, F.col("source").eqNullSafe(F.col("s"))).drop("s"))
 
     # a block is the leading ``bits`` of the place; shift by 60 - bits
@@ -173,7 +196,8 @@ def mix(
     p = plan.withColumnRenamed("source", "s")
     rows = sized.join(p, F.col("source").eqNullSafe(F.col("s"))).drop("s")
     rows = rows.withColumn("block", F.expr(f"shiftright(place, {DIGIT * LEVELS} - bits)"))
-    partial = F.when((F.col("place") < F.col("limit")) & (F.col("rest") > 0), 1).otherwise(0)
+    rows = rows.join(extra, F.col("source").eqNullSafe(F.col("es")) & (F.col("place") == F.col("ep")), "left")
+    partial = F.when(((F.col("place") < F.col("limit")) & (F.col("rest") > 0)) | F.col("extra").isNotNull(), 1).otherwise(0)
     rows = rows.withColumn("times", F.col("passes") + partial)
 
     blocks = rows.filter("times > 0").groupBy("source_key", "block").agg(F.max("times").alias("times"))

@@ -5,7 +5,7 @@
 2. Lengths are rounded up to ``grain``; all patterns of at most ``most_docs`` rounded lengths
    that fill a sequence are enumerated, and non-negative least squares fits how often to
    repeat each so that together they use up the histogram.
-3. The counts are rounded down and their slots given to real lengths, longest first. What is
+3. The counts are rounded down, so that no length is used up twice, and their slots given to real lengths, longest first. What is
    left, and what room is left, is packed by best fit, longest first, many equal lengths at a
    time. The result is a plan: for each length, which run of its pieces goes where.
 4. Pieces are ranked within their length (counts for each partition, then a running sum), look
@@ -34,6 +34,8 @@ from gapwise.scratch import Scratch
 
 CACHED_WORDS = 400_000
 TEXTS_AT_ONCE = 128
+WEIGHT = 1.0
+FITTED_SHARE = 0.9
 
 
 class WordTokens:
@@ -144,12 +146,20 @@ def plan(histogram: dict[int, int], size: int, grain: int, most_docs: int) -> li
         for k, pattern in enumerate(every):
             for cell in pattern:
                 a[cell - 1, k] += 1
-        scale = binned.sum()
-        counts = np.floor(nonnegative_least_squares(a, binned / scale) * scale + 1e-6).astype(np.int64)
+        # long pieces are the hard ones to place, so their lines weigh more; a part is left to best fit
+        scale, weight = binned.sum(), np.arange(1, cells + 1, dtype=np.float64) ** WEIGHT
+        fitted = nonnegative_least_squares(a * weight[:, None], binned / scale * weight)
+        counts = np.floor(fitted * scale * FITTED_SHARE + 1e-6).astype(np.int64)
+        unused = binned.astype(np.int64)
         for k in np.argsort(-counts, kind="stable"):
-            if counts[k] <= 0:
-                break
-            groups = [((), int(counts[k]))]
+            # rounded down to what the histogram still holds: a pattern with a hole would waste its room
+            need = a[:, k].astype(np.int64)
+            on = need > 0
+            repeats = int(min(counts[k], (unused[on] // need[on]).min()))
+            if repeats <= 0:
+                continue
+            unused -= repeats * need
+            groups = [((), repeats)]
             for cell in sorted(every[k], reverse=True):
                 low, filled = (cell - 1) * grain, []
                 for held, n in groups:
@@ -216,8 +226,8 @@ def pack(
     text_col: str = "text",
     size: int = 4096,
     end_id: int = 1,
-    grain: int = 32,
-    most_docs: int = 4,
+    grain: int = 16,
+    most_docs: int = 3,
 ) -> DataFrame:
     """One row for each piece: id, piece, start, length, ids_crc32, sequence_id, offset."""
     scratch = Scratch(docs.sparkSession)
