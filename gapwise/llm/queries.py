@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import pii, toxicity
+from gapwise.llm import hosts, pii, toxicity
 from gapwise.llm.common import table
 from gapwise.llm.mixing import mix
 from gapwise.llm.near_text import near_duplicates
+from gapwise.llm.near_vectors import near_vectors
 from gapwise.llm.packing import pack
+from gapwise.llm.repeats import repeated_passages
 
 
 def op3_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -27,6 +29,10 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"), cosine=0.95)
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
@@ -40,6 +46,15 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Fixed rules of the contract.
+RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+def op8_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = hosts.judge(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), RULES, least_good=0.8, z=1.645)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     found = pii.findings(docs, pii.disclosing_terms(docs))
@@ -51,10 +66,19 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeated_passages(table(spark, sf_dir, "documents"), length=200)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op3_near_text": op3_near_text,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
-    "op7_toxicity": op7_toxicity, "op9_pii": op9_pii,
+    "op6_near_vectors": op6_near_vectors,
+    "op7_toxicity": op7_toxicity,
+    "op8_hosts": op8_hosts,
+    "op9_pii": op9_pii,
+    "op10_repeats": op10_repeats,
 }
-ORACLES: dict[str, str] = {}
+ORACLES = {"op8_hosts": hosts.ORACLE}
