@@ -5,13 +5,37 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gapwise.llm import hosts, pii, toxicity
+from gapwise.llm import hosts, pii, quality, toxicity
 from gapwise.llm.common import table
 from gapwise.llm.mixing import mix
 from gapwise.llm.near_text import near_duplicates
 from gapwise.llm.near_vectors import near_vectors
 from gapwise.llm.packing import pack
+from gapwise.llm.pages import extract
 from gapwise.llm.repeats import repeated_passages
+from gapwise.scratch import Scratch
+
+
+def op1_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts, _ = Scratch(spark).write(quality.with_counts(table(spark, sf_dir, "documents")))
+    labels = table(spark, sf_dir, "labels").filter("doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("id")).agg(F.min("quality").alias("quality"))
+    kept, rule = quality.verdict(quality.fit(counts.join(labels, "id")))
+    failed = quality.base_failed()
+    return counts.select(
+        F.col("id").alias("doc_id"),
+        "n_words",
+        "word_chars",
+        "n_symbols",
+        "n_dup_lines",
+        "n_repeat_words",
+        failed.alias("base_failed"),
+        (~failed & kept).alias("kept"),
+        rule.alias("rule"),
+    )
 
 
 def op3_near_text(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +96,8 @@ def op10_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_pages": op1_pages,
+    "op2_quality": op2_quality,
     "op3_near_text": op3_near_text,
     "op4_mixing": op4_mixing,
     "op5_packing": op5_packing,
