@@ -6,7 +6,6 @@ from gapwise.functions.missing import (
     is_missing,
     missing_profile,
     nudge_zero,
-    present_or_nan,
     present_or_null,
     zero_when,
 )
@@ -31,7 +30,6 @@ __all__ = [
     "md5_uniform",
     "missing_profile",
     "nudge_zero",
-    "present_or_nan",
     "present_or_null",
     "sparse_struct",
     "to_dense",

@@ -25,11 +25,6 @@ def present_or_null(c: Column) -> Column:
     return F.nanvl(c.cast("double"), F.lit(None).cast("double"))
 
 
-def present_or_nan(c: Column) -> Column:
-    """The value as a double, with null turned into NaN."""
-    return F.coalesce(c.cast("double"), F.lit(NAN))
-
-
 def enforce(df: DataFrame, cols: list[str], policy: str) -> DataFrame:
     """Apply a missing-value policy to numeric columns.
 
@@ -57,9 +52,17 @@ def enforce(df: DataFrame, cols: list[str], policy: str) -> DataFrame:
     return df
 
 
-def fill_constant(c: Column, value: float) -> Column:
-    """Replace missing values by one constant: the mean, zero or a sentinel such as -999999."""
-    return F.coalesce(present_or_null(c), F.lit(float(value)))
+def _number(value: float | None) -> Column:
+    """A double literal; None, the statistic of a column without values, is null."""
+    return F.lit(None if value is None else float(value)).cast("double")
+
+
+def fill_constant(c: Column, value: float | None) -> Column:
+    """Replace missing values by one constant: the mean, zero or a sentinel such as -999999.
+
+    The mean of a column that is all missing is None and leaves the column as it is.
+    """
+    return F.coalesce(present_or_null(c), _number(value))
 
 
 def fill_normal(c: Column, mean: float, std_dev: float, seed: int, key: Column | None = None) -> Column:
@@ -75,7 +78,7 @@ def fill_normal(c: Column, mean: float, std_dev: float, seed: int, key: Column |
         first = md5_uniform(key, f"normal{seed}:", 0)
         second = md5_uniform(key, f"normal{seed}:", 1)
         draw = F.sqrt(-2 * F.log(first)) * F.cos(2 * F.pi() * second)
-    return F.coalesce(present_or_null(c), F.lit(float(mean)) + F.lit(float(std_dev)) * draw)
+    return F.coalesce(present_or_null(c), _number(mean) + _number(std_dev) * draw)
 
 
 def nudge_zero(c: Column, epsilon: float = 0.0001) -> Column:

@@ -37,6 +37,7 @@ from gapwise.scratch import Scratch
 
 FETCHED_LINES = 100_000  # histogram lines per level that the driver may fetch and search
 ROWS_PER_PARTITION = 4_000_000  # binned rows are a few bytes per feature
+LINES_PER_REDUCER = 1_000_000  # histogram lines that one task merges
 
 # Option names of the settings map, and the parameter each one sets.
 _OPTIONS = {
@@ -96,7 +97,7 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
     gamma = _param("gamma", "gain a split must exceed", TypeConverters.toFloat)
     minChildWeight = _param("minChildWeight", "least second-derivative sum of a child", TypeConverters.toFloat)
     maxBins = _param("maxBins", "bins per feature", TypeConverters.toInt)
-    numWorkers = _param("numWorkers", "partitions to train on; 0 chooses by the number of rows", TypeConverters.toInt)
+    numWorkers = _param("numWorkers", "least number of partitions; rows and cores may call for more", TypeConverters.toInt)
     allowNonZeroForMissing = _param(
         "allowNonZeroForMissing", "consent to a missing value other than 0", TypeConverters.toBoolean
     )
@@ -174,6 +175,8 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
             raise ValueError("the only objective is multi:softprob")
         if get("numClass") < 2 or get("maxDepth") < 1 or get("numRound") < 1 or get("maxBins") < 2:
             raise ValueError("numClass and maxBins must be at least 2, maxDepth and numRound at least 1")
+        if get("maxBins") > ft.MOST_BINS:
+            raise ValueError(f"maxBins is at most {ft.MOST_BINS}, since bins are small integers")
         if not self.isSet("inputCols") and get("missing") != 0 and not get("allowNonZeroForMissing"):
             raise ValueError("missing is not 0: set allowNonZeroForMissing to agree that absent zeros count as missing")
 
@@ -192,12 +195,13 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
             label.cast("int").alias("y"),
             (label.isNull() | ~label.isin(list(range(get("numClass"))))).alias("bad"),
             (nan_seen if get("missing") == 0 else F.lit(False)).alias("nan_seen"),
+            (F.lit(size) if isinstance(chosen, list) else ft.vector_entries(df, chosen)).alias("entries"),
             *[c.alias(n) for c, n in zip(present, names)],
         )
         train = train.persist(StorageLevel.MEMORY_AND_DISK)  # three passes, one evaluation of the source
         try:
             cuts, rows = self._facts(train, names)
-            trees = self._grow(spark, ft.bin_columns(train.drop("bad", "nan_seen"), names, cuts), names, cuts, rows, train)
+            trees = self._grow(spark, ft.bin_columns(train.drop("bad", "nan_seen", "entries"), names, cuts), names, cuts, rows, train)
         finally:
             train.unpersist()
         model = BoostedTreeModel(
@@ -221,10 +225,14 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
             F.count(F.lit(1)).alias("rows"),
             F.count_if("bad").alias("bad"),
             F.max("nan_seen").alias("nan_seen"),
+            F.min("entries").alias("least_entries"),
+            F.max("entries").alias("most_entries"),
             *([] if given else ft.spread(names, get("maxBins"))),
         ).first()
         if facts["rows"] == 0:
             raise ValueError("no rows to train on")
+        if facts["least_entries"] is not None and not facts["least_entries"] == facts["most_entries"] == len(names):
+            raise ValueError(f"vectors have {facts['least_entries']} to {facts['most_entries']} entries, expected {len(names)}")
         if facts["bad"]:
             raise ValueError(f"{facts['bad']} rows have a label that is null or not one of 0..{get('numClass') - 1}")
         if facts["nan_seen"]:
@@ -244,12 +252,14 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         classes = [1] if get("numClass") == 2 else list(range(get("numClass")))
         margins = {k: f"m{k}" for k in classes}
         scale = sp.fixed_point_scale(rows)
-        parts = get("numWorkers") or self._partitions(spark, rows)
+        parts = max(get("numWorkers"), self._partitions(spark, rows))
         # The level jobs have a known, small shuffle, so they run in a session of their own
         # that is tuned for it; the caller's settings stay as they are.
         levels = spark.newSession()
         levels.conf.set("spark.sql.adaptive.enabled", "false")
-        levels.conf.set("spark.sql.shuffle.partitions", str(min(512, max(1, parts // 64))))
+        # Every task of a level hands on at most this many lines for each node, feature and bin.
+        lines = len(classes) * 2 ** (get("maxDepth") - 1) * sum(len(c) + 2 for c in cuts)
+        levels.conf.set("spark.sql.shuffle.partitions", str(max(1, -(-lines * parts // LINES_PER_REDUCER))))
         scratch = Scratch(levels)
         table, path = scratch.write(binned.withColumns({m: F.lit(0.0) for m in margins.values()}).repartition(parts))
         source.unpersist()
@@ -366,7 +376,7 @@ def _derivatives(
 
 
 class BoostedTreeModel(Model, _BoostParams, DefaultParamsReadable, DefaultParamsWritable):
-    """Scores rows with column expressions only; a value missing here takes each split's own side."""
+    """Scores rows over Arrow batches of the used features; a value missing here takes each split's own side."""
 
     trees = _param("trees", "the trees as JSON", TypeConverters.toString)
     numFeatures = _param("numFeatures", "number of features", TypeConverters.toInt)
@@ -422,7 +432,7 @@ class BoostedTreeModel(Model, _BoostParams, DefaultParamsReadable, DefaultParams
     def _transform(self, df: DataFrame) -> DataFrame:
         get = self.getOrDefault
         size, k = get("numFeatures"), get("numClass")
-        columns = ft.apply_missing(ft.feature_columns(df, self._features(), size, get("absent")), get("missing"))
+        columns = ft.apply_missing(ft.feature_columns(df, self._features(), size, get("absent"), checked=True), get("missing"))
         used = sorted({s["feature"] for t in self.tree_list() for s in t.splits.values()})
         temporary = [f"_x{i}" for i in used]
         values = {i: F.col(f"_x{i}") for i in used}

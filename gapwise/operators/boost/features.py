@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Row
@@ -12,6 +13,8 @@ from pyspark.sql.types import StructType
 from gapwise.functions.missing import present_or_null
 
 MISSING_BIN = -1
+MOST_BINS = 32_766
+FINE_STEPS = 16  # quantiles taken for each bin
 
 
 def vector_size(df: DataFrame, column: str) -> int:
@@ -31,11 +34,20 @@ def _parts(df: DataFrame, column: str) -> Column:
     return c if isinstance(df.schema[column].dataType, StructType) else F.unwrap_udt(c)
 
 
-def feature_columns(df: DataFrame, features: str | list[str], size: int = 0, absent: str = "missing") -> list[Column]:
+def vector_entries(df: DataFrame, column: str) -> Column:
+    """The number of entries of each vector; null for a null vector."""
+    parts = _parts(df, column)
+    return F.when(F.col(column).isNotNull(), F.coalesce(parts["size"], F.size(parts["values"])))
+
+
+def feature_columns(
+    df: DataFrame, features: str | list[str], size: int = 0, absent: str = "missing", checked: bool = False
+) -> list[Column]:
     """One nullable double per feature, straight from number columns or out of a vector.
 
     ``absent`` says what an entry left out of a sparse vector means: ``missing``, or
-    ``zero`` as in Spark's own algorithms. NaN is left as it is here.
+    ``zero`` as in Spark's own algorithms. NaN is left as it is here. ``checked`` fails the
+    job at a vector of another size.
     """
     if not isinstance(features, str):
         return [F.col(name).cast("double") for name in features]
@@ -47,7 +59,11 @@ def feature_columns(df: DataFrame, features: str | list[str], size: int = 0, abs
         stored = F.get(parts["values"], (F.array_position(parts["indices"], i) - 1).cast("int"))
         if absent == "zero":
             stored = F.coalesce(stored, F.lit(0.0))
-        columns.append(F.when(parts["type"] == 1, F.get(parts["values"], F.lit(i))).otherwise(stored))
+        value = F.when(parts["type"] == 1, F.get(parts["values"], F.lit(i))).otherwise(stored)
+        if checked:
+            wrong = F.raise_error(F.lit(f"a vector in {features} does not have {size} entries")).cast("double")
+            value = F.when(vector_entries(df, features) != size, wrong).otherwise(value)
+        columns.append(value)
     return columns
 
 
@@ -59,24 +75,42 @@ def apply_missing(columns: list[Column], missing: float) -> list[Column]:
 
 def spread(names: list[str], max_bins: int) -> list[Column]:
     """Mergeable aggregates from which ``cut_points`` starts: distinct counts and quantiles."""
-    steps = [i / max_bins for i in range(max_bins + 1)]
+    steps = [i / (FINE_STEPS * max_bins) for i in range(FINE_STEPS * max_bins + 1)]
     return [F.approx_count_distinct(n, 0.05).alias(f"distinct_{n}") for n in names] + [
-        F.percentile_approx(n, steps, 50 * max_bins).alias(f"quantiles_{n}") for n in names
+        F.percentile_approx(n, steps, 4 * FINE_STEPS * max_bins).alias(f"quantiles_{n}") for n in names
     ]
 
 
 def cut_points(df: DataFrame, names: list[str], max_bins: int, facts: Row | None = None) -> list[list[float]]:
     """Ascending split candidates per feature; a split sends ``x < cut`` to the left.
 
-    Features get approximate quantiles, except that one with few distinct values gets a cut
-    at each of them, so that rare categories can still be told apart.
+    Features get approximate quantiles. Values that alone fill a bin or more get one of their
+    own, and the other bins are spread over the rest, so a spike leaves cuts for what is
+    beside it. A feature with few distinct values gets a cut at each of them, so that rare
+    categories can still be told apart.
     """
     facts = facts or df.agg(*spread(names, max_bins)).first()
     values = {n: facts[f"quantiles_{n}"] or [] for n in names}
     few = [n for n in names if 0 < facts[f"distinct_{n}"] <= max_bins]
     if few:
         values.update(df.agg(*[F.collect_set(n).alias(n) for n in few]).first().asDict())
-    return [sorted(set(values[n]))[1:] for n in names]
+    return [sorted(set(values[n]))[1:] if n in few else _spaced(values[n], max_bins) for n in names]
+
+
+def _spaced(fine: list[float], max_bins: int) -> list[float]:
+    """At most ``max_bins - 1`` cuts from ascending fine quantiles with repeats."""
+    counts = Counter(fine)
+    values = sorted(counts)
+    if len(values) <= max_bins:
+        return values[1:]
+    heavy = [v for v in values if counts[v] * max_bins >= len(fine)]
+    following = {values[i + 1] for i in range(len(values) - 1) if counts[values[i]] * max_bins >= len(fine)}
+    own = sorted((set(heavy) | following) - {values[0]})[: max_bins - 1]
+    rest = [v for v in fine if v not in set(own) and v != values[0]]
+    room = min(max_bins - 1 - len(own), len(rest))
+    # cuts at even steps through the rest, so the first one leaves a share below it too
+    picked = {rest[(2 * i + 1) * len(rest) // (2 * room)] for i in range(room)}
+    return sorted(set(own) | picked)
 
 
 def bin_columns(df: DataFrame, names: list[str], cuts: list[list[float]]) -> DataFrame:

@@ -14,11 +14,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType
 
-# A row-at-a-time method that outgrows 8000 bytes of bytecode is no longer compiled by the JVM
-# and runs some 40 times slower; about this many splits in one expression stay below that.
-EXPRESSION_SPLITS = 80
-
-
 @dataclass
 class Tree:
     round: int
@@ -84,34 +79,16 @@ def weight_at(tree: Tree, depth: int, tag: str) -> str:
     return f"get({_list(weights)}, n{depth}{tag} - {2**depth})"
 
 
-def weight_by_value(tree: Tree, values: dict[int, Column], node: int = 1) -> Column:
-    """The weight of a row of raw feature values; null is missing."""
-    split = tree.splits.get(node)
-    if split is None:
-        return F.lit(tree.weights[node])
-    x, cut = values[split["feature"]], split["threshold"]
-    left, right = (weight_by_value(tree, values, child) for child in (2 * node, 2 * node + 1))
-    if cut is None:  # the split parts present from missing
-        return left if split["default_left"] else F.when(x.isNotNull(), left).otherwise(right)
-    if split["default_left"]:
-        return F.when(x >= cut, right).otherwise(left)
-    return F.when(x < cut, left).otherwise(right)
-
-
 def margin_columns(trees: list[Tree], values: dict[int, Column]) -> dict[int, Column]:
-    """The sum of weights per modelled class.
+    """The sum of weights per modelled class, added up over Arrow batches of the feature columns.
 
-    A small forest is one column expression. A larger one is added up over Arrow batches of
-    the feature columns, in the same order and so to the same bits.
+    One way for forests of any size: as one column expression a forest of the usual hundred
+    trees outgrows what the JVM compiles and runs some 40 times slower.
     """
     classes = sorted({t.label_class for t in trees})
-    if sum(len(t.splits) for t in trees) <= EXPRESSION_SPLITS:
-        sums: dict[int, Column] = {}
-        for t in trees:
-            weight = weight_by_value(t, values)
-            sums[t.label_class] = sums[t.label_class] + weight if t.label_class in sums else weight
-        return sums
     used = sorted({s["feature"] for t in trees for s in t.splits.values()})
+    if not used:  # no tree has a split
+        return {c: F.lit(sum(t.weights[1] for t in trees if t.label_class == c)) for c in classes}
     batch = _margin_batches(trees, classes, {f: i for i, f in enumerate(used)})
     listed = batch(*[values[f] for f in used])
     return {c: F.get(listed, F.lit(i)) for i, c in enumerate(classes)}

@@ -1,9 +1,9 @@
 """Frequency-ranked category dictionaries and the stages that apply them.
 
-Rank 0 is the most frequent value; equal counts go in alphabetical order. A dictionary of
-bounded size lives in a ``StringIndexerModel``. One that outgrows the bound stays a table:
-it is ranked by a range sort and applied by a join that settles frequent values without
-moving their rows to one place.
+Rank 0 is the most frequent value; equal counts go in alphabetical order. A dictionary is a
+table whatever its size: it is ranked by a range sort, saved with its model, and applied by a
+join. Spark broadcasts a small one; for a large one the rows of a frequent value are dealt to
+several join tasks and null rows to all of them.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.ml import Estimator, Model
 from pyspark.ml.feature import IndexToString, StringIndexer, StringIndexerModel
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasHandleInvalid, HasInputCol, HasInputCols, HasOutputCol, HasOutputCols
-from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsReader, DefaultParamsWritable, DefaultParamsWriter
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import AtomicType
@@ -21,7 +21,7 @@ from pyspark.sql.types import AtomicType
 from gapwise.operators.stage import check_schema
 from gapwise.scratch import Scratch
 
-DRIVER_LABELS = 100_000  # labels of one column that may be held by the driver and broadcast
+SALTS = 8  # join tasks that may share the rows of one value
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row number in its low 33 bits
 
 
@@ -117,111 +117,104 @@ class CategoryIndexer(
     """Frequency-ranked indices for several string columns, fitted in one job.
 
     ``keep`` gives null and unseen values the index after the last label, ``skip`` drops
-    their rows and ``error`` fails. The fitted model is Spark's own
-    ``StringIndexerModel`` while every column has at most ``driverLabels`` labels, and a
-    ``CategoryTableModel`` otherwise.
+    their rows and ``error`` fails.
     """
 
-    driverLabels = Param(
-        Params._dummy(), "driverLabels", "labels per column the driver may hold", typeConverter=TypeConverters.toInt
-    )
-
     @keyword_only
-    def __init__(self, *, inputCols=None, outputCols=None, handleInvalid="keep", driverLabels=DRIVER_LABELS):
+    def __init__(self, *, inputCols=None, outputCols=None, handleInvalid="keep"):
         super().__init__()
-        self._setDefault(handleInvalid="keep", driverLabels=DRIVER_LABELS)
+        self._setDefault(handleInvalid="keep")
         self._set(**self._input_kwargs)
 
-    def _fit(self, df: DataFrame) -> Model:
+    def _fit(self, df: DataFrame) -> "CategoryModel":
         cols, outs = self.getInputCols(), self.getOutputCols()
         check_schema(df.schema, cols, outs, numeric=False)
-        limit = self.getOrDefault("driverLabels")
-        counts = category_counts(df, cols).persist()
-        try:
-            sizes = {r["column"]: r["size"] for r in counts.groupBy("column").agg(F.count("*").alias("size")).collect()}
-            if all(size <= limit for size in sizes.values()):
-                labels: dict[str, list] = {c: [] for c in cols}
-                for r in sorted(counts.collect(), key=lambda r: (-r["n"], r["value"])):
-                    labels[r["column"]].append(r["value"])
-                return StringIndexerModel.from_arrays_of_labels(
-                    [labels[c] for c in cols], cols, outs, self.getHandleInvalid()
-                )
-            scratch = Scratch(df.sparkSession)
-            _, path = scratch.write(category_dictionary(counts, scratch))
-        finally:
-            counts.unpersist()
-        return CategoryTableModel(
+        scratch = Scratch(df.sparkSession)
+        table, path = scratch.write(category_dictionary(category_counts(df, cols), scratch))
+        scratch.keep_only(path)
+        sizes = {r["column"]: r["size"] for r in table.groupBy("column").agg(F.count("*").alias("size")).collect()}
+        return CategoryModel(
             inputCols=cols,
             outputCols=outs,
             handleInvalid=self.getHandleInvalid(),
             dictionaryPath=path,
             sizes=[sizes.get(c, 0) for c in cols],
-            headLabels=limit,
         )
 
 
-class CategoryTableModel(
-    Model, HasInputCols, HasOutputCols, HasHandleInvalid, DefaultParamsReadable, DefaultParamsWritable
-):
-    """Applies a dictionary table (``column, value, n, idx``) that is too large for the driver.
+class _TableWriter(DefaultParamsWriter):
+    """Stores the dictionary beside the metadata, so that a saved model stands alone."""
+
+    def saveImpl(self, path: str) -> None:
+        super().saveImpl(path)
+        table = self.sparkSession.read.parquet(self.instance.getOrDefault("dictionaryPath"))
+        table.write.parquet(f"{path}/{_TABLE}")
+
+
+class _TableReader(DefaultParamsReader):
+    def load(self, path: str):
+        return super().load(path)._set(dictionaryPath=f"{path}/{_TABLE}")
+
+
+_TABLE = "dictionary"
 
-    The ``headLabels`` most frequent values are looked up in the JVM from a broadcast
-    list of that bounded size. Only the remaining, rarer values need a shuffle join; rows
-    already settled, null ones included, are spread evenly across its partitions.
+
+class CategoryModel(Model, HasInputCols, HasOutputCols, HasHandleInvalid, DefaultParamsReadable, DefaultParamsWritable):
+    """Applies a dictionary table (``column, value, n, idx``); a column the frame lacks is passed over.
+
+    Every index column says in its metadata that it is nominal and how many values it has.
     """
 
     dictionaryPath = Param(
         Params._dummy(), "dictionaryPath", "parquet table of the dictionary", typeConverter=TypeConverters.toString
     )
     sizes = Param(Params._dummy(), "sizes", "number of labels per column", typeConverter=TypeConverters.toListInt)
-    headLabels = Param(
-        Params._dummy(), "headLabels", "labels per column that are broadcast", typeConverter=TypeConverters.toInt
-    )
 
     @keyword_only
-    def __init__(
-        self, *, inputCols=None, outputCols=None, handleInvalid="keep", dictionaryPath=None, sizes=None, headLabels=None
-    ):
+    def __init__(self, *, inputCols=None, outputCols=None, handleInvalid="keep", dictionaryPath=None, sizes=None):
         super().__init__()
-        self._setDefault(handleInvalid="keep", headLabels=DRIVER_LABELS)
+        self._setDefault(handleInvalid="keep")
         self._set(**self._input_kwargs)
 
+    def write(self) -> DefaultParamsWriter:
+        return _TableWriter(self)
+
+    @classmethod
+    def read(cls) -> DefaultParamsReader:
+        return _TableReader(cls)
+
     def _transform(self, df: DataFrame) -> DataFrame:
-        cols, outs = self.getInputCols(), self.getOutputCols()
-        check_schema(df.schema, cols, outs, numeric=False)
+        names = {c.lower() for c in df.columns}
+        held = [x for x in zip(self.getInputCols(), self.getOutputCols(), self.getOrDefault("sizes")) if x[0].lower() in names]
+        check_schema(df.schema, [c for c, _, _ in held], [o for _, o, _ in held], numeric=False)
         table = df.sparkSession.read.parquet(self.getOrDefault("dictionaryPath"))
-        limit, policy = self.getOrDefault("headLabels"), self.getHandleInvalid()
-        for column, out, size in zip(cols, outs, self.getOrDefault("sizes")):
-            dictionary = table.filter(F.col("column") == column)
-            df = _attach_index(df, column, out, dictionary, size, limit)
+        policy = self.getHandleInvalid()
+        for column, out, size in held:
+            df = _attach_index(df, column, out, table.filter(F.col("column") == column), size)
             if policy == "skip":
                 df = df.filter(F.col(out) < size)
             elif policy == "error":
                 failure = F.raise_error(F.lit(f"null or unseen value in column {column}")).cast("double")
                 df = df.withColumn(out, F.when(F.col(out) < size, F.col(out)).otherwise(failure))
+            values = size + (1 if policy == "keep" else 0)
+            df = df.withMetadata(out, {"ml_attr": {"type": "nominal", "name": out, "num_vals": values}})
         return df
 
 
-def _attach_index(df: DataFrame, column: str, out: str, dictionary: DataFrame, size: int, limit: int) -> DataFrame:
-    head = dictionary.filter(F.col("idx") < limit).orderBy("idx").select("value").collect()
-    head_model = StringIndexerModel.from_labels([r["value"] for r in head], column, "_head", "keep")
-    df = head_model.transform(df)
-    open_row = (F.col("_head") == len(head)) & F.col(column).isNotNull()
-    # Settled rows need no match. They get keys of their own kind, spread by content, so that
-    # neither a frequent value nor null gathers in one join task.
+def _attach_index(df: DataFrame, column: str, out: str, dictionary: DataFrame, size: int) -> DataFrame:
+    # Null rows need no match: they get keys of their own kind, spread by content. Rows of one
+    # value, seen or not, are dealt to SALTS keys, which the dictionary is repeated for.
     lanes = 16 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     content = [f.name for f in df.schema.fields if isinstance(f.dataType, AtomicType)]
-    lane = F.pmod(F.xxhash64(F.spark_partition_id(), *content), F.lit(lanes))
-    keyed = df.withColumn(
-        "_key",
-        F.when(open_row, F.concat(F.lit("="), F.col(column).cast("string"))).otherwise(F.concat(F.lit("~"), lane)),
-    )
-    tail = dictionary.filter(F.col("idx") >= limit).select(
-        F.concat(F.lit("="), F.col("value")).alias("_key"), F.col("idx").cast("double").alias("_tail")
+    spread = F.xxhash64(F.spark_partition_id(), *content)
+    value = F.col(column).cast("string")
+    own = F.concat(F.pmod(spread, F.lit(SALTS)).cast("string"), F.lit("="), value)
+    keyed = df.withColumn("_key", F.coalesce(own, F.concat(F.lit("~"), F.pmod(spread, F.lit(lanes)).cast("string"))))
+    salted = dictionary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))).select(
+        F.concat(F.col("_salt").cast("string"), F.lit("="), F.col("value")).alias("_key"), F.col("idx").cast("double").alias("_found")
     )
-    joined = keyed.join(tail, "_key", "left")
-    index = F.when(F.col("_head") < len(head), F.col("_head")).otherwise(F.coalesce("_tail", F.lit(float(size))))
-    return joined.withColumn(out, index).drop("_head", "_key", "_tail")
+    joined = keyed.join(salted, "_key", "left")
+    return joined.withColumn(out, F.coalesce("_found", F.lit(float(size)))).drop("_key", "_found")
 
 
 def rare_to_other(df: DataFrame, column: str, out: str, min_share: float, other: str = "other") -> DataFrame:
@@ -243,6 +236,6 @@ def rare_to_other(df: DataFrame, column: str, out: str, min_share: float, other:
     return df.withColumn(out, F.when(c.isNull() | c.cast("string").isin(kept), c.cast("string")).otherwise(other))
 
 
-def read_dictionary(spark: SparkSession, model: CategoryTableModel) -> DataFrame:
-    """The dictionary table of a fitted ``CategoryTableModel``."""
+def read_dictionary(spark: SparkSession, model: CategoryModel) -> DataFrame:
+    """The dictionary table of a fitted ``CategoryModel``."""
     return spark.read.parquet(model.getOrDefault("dictionaryPath"))

@@ -1,19 +1,20 @@
 """ROC points and the exact area under the curve, with no sort of the data in one place.
 
 Scores are grouped first, so a score shared by a third of all rows is one line from then
-on. Distinct scores are cut into ranges at approximate quantiles; each range is a window
-of its own, and ranges are tied together by their totals, one line per range. The cuts
-only decide which task does what: the result is exact for any of them.
+on. The distinct scores are sorted into ranges across tasks and written once, so that every
+line keeps its range; each range is a window of its own, and ranges are tied together by
+their totals, one line per range. Ranges only decide which task does what: the result is
+exact for any of them. The scored frame is evaluated once.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapwise.functions.missing import is_missing
 from gapwise.functions.vectors import vector_element
+from gapwise.scratch import Scratch
 
 
 def class_score(probability: str = "probability", class_index: int = 1) -> Column:
@@ -25,21 +26,17 @@ def _ranges(df: DataFrame, score: str, label: str, ranges: int | None) -> DataFr
     """``range, score, pos, neg`` per distinct score."""
     pairs = df.select(F.col(score).cast("double").alias("score"), F.col(label).cast("double").alias("label"))
     ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    probabilities = [i / ranges for i in range(1, ranges)] or [0.5]
-    head = pairs.agg(
-        F.count_if(is_missing(F.col("score")) | is_missing(F.col("label"))).alias("missing"),
-        F.percentile_approx("score", probabilities, 20 * ranges).alias("cuts"),
-    ).first()
-    if head["missing"]:
-        raise ValueError(f"{head['missing']} rows have a missing score or label and cannot be ranked")
+    gone = is_missing(F.col("score")) | is_missing(F.col("label"))
     positive = F.col("label") > 0.5
-    by_score = pairs.groupBy("score").agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
-    cuts = sorted(set(head["cuts"] or []) - {float("inf"), float("-inf")})
-    if not cuts:
-        return by_score.withColumn("range", F.lit(0.0))
-    return Bucketizer(
-        splits=[float("-inf"), *cuts, float("inf")], inputCol="score", outputCol="range", handleInvalid="error"
-    ).transform(by_score)
+    by_score = pairs.groupBy("score").agg(
+        F.count_if(gone).alias("missing"), F.count_if(positive & ~gone).alias("pos"), F.count_if(~positive & ~gone).alias("neg")
+    )
+    ranged = by_score.repartitionByRange(ranges, "score").withColumn("range", F.spark_partition_id())
+    written, _ = Scratch(df.sparkSession).write(ranged)
+    missing = written.agg(F.sum("missing")).first()[0]
+    if missing:
+        raise ValueError(f"{missing} rows have a missing score or label and cannot be ranked")
+    return written
 
 
 def _running_totals(totals: DataFrame) -> DataFrame:
@@ -76,8 +73,9 @@ def roc_points(df: DataFrame, score: str, label: str, ranges: int | None = None)
 
 
 def area_under_roc(df: DataFrame, score: str, label: str, ranges: int | None = None) -> DataFrame:
-    """One line ``positives, negatives, auc``: the share of (positive, negative) pairs ranked
-    the right way round, ties counting half. Null if a class is absent.
+    """One line ``positives, negatives, auc, auc_reversed``: the share of (positive, negative)
+    pairs ranked the right way round, ties counting half, and the share with the scores turned
+    over, as by the other class's probability. Null if a class is absent.
     """
     by_score = _ranges(df, score, label, ranges)
     below = Window.partitionBy("range").orderBy("score").rowsBetween(Window.unboundedPreceding, -1)
@@ -98,8 +96,10 @@ def area_under_roc(df: DataFrame, score: str, label: str, ranges: int | None = N
             (a["won"] + x["won"] + x["pos"].cast("double") * a["neg"]).alias("won"),
         ),
     )
+    pairs = F.col("r.pos").cast("double") * F.col("r.neg")
     return listed.select(total.alias("r")).select(
         F.col("r.pos").alias("positives"),
         F.col("r.neg").alias("negatives"),
-        F.try_divide(F.col("r.won"), F.col("r.pos").cast("double") * F.col("r.neg")).alias("auc"),
+        F.try_divide(F.col("r.won"), pairs).alias("auc"),
+        F.try_divide(pairs - F.col("r.won"), pairs).alias("auc_reversed"),
     )

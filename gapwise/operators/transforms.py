@@ -66,6 +66,8 @@ _FUNCTIONS = {
 
 def apply_function(c: Column, function: str) -> Column:
     """``log``, ``exp``, ``square`` or ``sin``; missing stays missing, and so does log of x <= 0."""
+    if function not in _FUNCTIONS:
+        raise ValueError(f"function must be one of {sorted(_FUNCTIONS)}, not {function!r}")
     return _FUNCTIONS[function](present_or_null(c))
 
 

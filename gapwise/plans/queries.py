@@ -322,7 +322,7 @@ def category_index_keep(spark, sf_dir):
 def category_index_table(spark, sf_dir):
     """A dictionary larger than the driver bound, set low here: ranked as a table, applied by join."""
     df = features(spark, sf_dir).select("k", F.col("cust").cast("bigint").cast("string").alias("name"))
-    model = CategoryIndexer(inputCols=["name"], outputCols=["name_index"], driverLabels=50).fit(df)
+    model = CategoryIndexer(inputCols=["name"], outputCols=["name_index"]).fit(df)
     return model.transform(df).select("k", "name_index")
 
 
@@ -512,10 +512,9 @@ def score_pick(spark, sf_dir):
       round({_AUC_SQL}, 9) AS auc, round(1 - {_AUC_SQL}, 9) AS auc_of_class_0 FROM scored""",
 )
 def auc_exact(spark, sf_dir):
-    df = _formula_scores(spark, sf_dir).select("label", class_score().alias("s1"), class_score(class_index=0).alias("s0"))
-    flipped = area_under_roc(df, "s0", "label").first()["auc"]
+    df = _formula_scores(spark, sf_dir).select("label", class_score().alias("s1"))
     return area_under_roc(df, "s1", "label").select(
-        "positives", "negatives", F.round("auc", 9).alias("auc"), F.round(F.lit(flipped), 9).alias("auc_of_class_0")
+        "positives", "negatives", F.round("auc", 9).alias("auc"), F.round("auc_reversed", 9).alias("auc_of_class_0")
     )
 
 
@@ -640,7 +639,7 @@ def _variant(variant: str, trainer=None):
         data = features(spark, sf_dir)
         training, test = hash_split(data, "k", [80, 20])
         chosen = trainer() if trainer else variants.default_trainer(variant, {"num_round": QUERY_ROUNDS})
-        model = variants.fit(variant, training, ORDER_ROLES, labelled=data, trainer=chosen)
+        model = variants.fit(variant, training, ORDER_ROLES, labelled=data, trainer=chosen, text_out="predicted_label")
         scored = model.transform(test).select("label", "label_text", "predicted_label", class_score().alias("score"))
         auc = area_under_roc(scored, "score", "label").first()["auc"]
         return scored.agg(

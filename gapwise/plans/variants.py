@@ -64,27 +64,36 @@ def build(
     roles: Roles,
     labelled: DataFrame | None = None,
     trainer: Estimator | None = None,
-    text_out: str = "predicted_label",
+    text_out: str = "predicted_income",
+    prepared_on: DataFrame | None = None,
+    trim_factor: float | None = TRIM_FACTOR,
 ) -> Pipeline:
     """Stages of one variant, ready to fit on ``training``.
 
     The label dictionary is fitted here, on ``labelled`` (default: ``training``), because
-    the stage that turns predictions back into text needs its labels. Everything else is
-    learned when the pipeline is fitted; fit it on all data to learn from all data.
+    the stage that turns predictions back into text needs its labels. With ``prepared_on``
+    category indices and column statistics are fitted here as well, on that frame: all data,
+    say, while the trees see the training side alone. Otherwise they are learned when the
+    pipeline is fitted. ``trim_factor=None`` takes deviations over all values, as columns with
+    a mean of zero or less need.
     """
     if variant not in VARIANTS:
         raise ValueError(f"variant must be one of {VARIANTS}")
     indexed = [f"{c}_index" for c in roles.categorical]
     scaled = [f"{c}_norm" for c in roles.numeric]
     labels = label_indexer(labelled if labelled is not None else training, roles.label, roles.label_out)
-    stages = [CategoryIndexer(inputCols=roles.categorical, outputCols=indexed, handleInvalid="keep"), labels]
+
+    def prepared(stage):
+        return stage if prepared_on is None else stage.fit(prepared_on)
+
+    stages = [prepared(CategoryIndexer(inputCols=roles.categorical, outputCols=indexed, handleInvalid="keep")), labels]
     if variant != "drop_missing":
         score = StandardScore(inputCols=roles.numeric, outputCols=scaled, handleInvalid="keep")
         if variant == "imputed":
             score.setReplacementValue(0.0)
-        else:
-            score._set(trimFactor=TRIM_FACTOR)
-        stages.append(score)
+        elif trim_factor is not None:
+            score._set(trimFactor=float(trim_factor))
+        stages.append(prepared(score))
     inputs = indexed + (roles.numeric if variant == "drop_missing" else scaled)
     if variant == "sparse":
         stages.append(SparseVectorAssembler(inputCols=inputs, outputCol="features", form="struct"))

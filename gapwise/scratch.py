@@ -50,3 +50,9 @@ class Scratch:
         context = self._spark.sparkContext
         target = context._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+    def keep_only(self, path: str) -> None:
+        """Delete all tables of this object but one."""
+        for count in range(1, self._count + 1):
+            if (other := f"{self._root}/t{count}") != path:
+                self.drop(other)

@@ -18,7 +18,6 @@ from gapwise.operators.boost import (
     split_candidates,
 )
 from gapwise.operators.boost import classifier as cl
-from gapwise.operators.boost import trees as tr
 from gapwise.operators.boost.features import cut_points
 from gapwise.operators.evaluate import area_under_roc, class_score
 
@@ -217,17 +216,47 @@ def test_two_classes_are_mirrored(points):
         assert all(o.weights[n] == pytest.approx(-w, rel=1e-6) for n, w in t.weights.items())
 
 
-def test_large_forests_score_the_same_in_batches(points, monkeypatch):
-    model = BoostedTreeClassifier(inputCols=["a", "b"], numRound=3).fit(points)
-    holes = points.withColumn("a", F.when(F.col("id") % 7 == 0, None).otherwise(F.col("a")))
-    pick = lambda df: [r["p"] for r in df.orderBy("id").select(class_score().alias("p")).collect()]
-    by_expression = model.transform(holes)
-    assert "Python" not in by_expression._jdf.queryExecution().executedPlan().toString()
-    want = pick(by_expression)
-    monkeypatch.setattr(tr, "EXPRESSION_SPLITS", 0)
-    in_batches = model.transform(holes)
-    assert "ArrowEvalPython" in in_batches._jdf.queryExecution().executedPlan().toString()
-    assert pick(in_batches) == want
+def test_scores_are_sums_of_the_trees_weights(points):
+    model = BoostedTreeClassifier(inputCols=["a", "b"], numRound=30, maxDepth=3).fit(points)
+    assert sum(len(t.splits) for t in model.tree_list()) > 80
+    holes = points.withColumn("a", F.when(F.col("id") % 7 == 0, None).otherwise(F.col("a"))).limit(200)
+
+    def weight(tree, row):
+        node = 1
+        while node in tree.splits:
+            s, x = tree.splits[node], row[tree.splits[node]["feature"]]
+            gone = x is None or x != x
+            left = s["default_left"] if gone else s["threshold"] is None or x < s["threshold"]
+            node = 2 * node + (0 if left else 1)
+        return tree.weights[node]
+
+    for r in model.transform(holes).select("a", "b", "rawPrediction").collect():
+        assert r["rawPrediction"][1] == pytest.approx(sum(weight(t, (r["a"], r["b"])) for t in model.tree_list()), abs=1e-12)
+
+
+def test_vectors_of_unequal_size_are_an_error(spark):
+    short = [(float(i % 2), Vectors.dense([float(i)])) for i in range(20)]
+    long = [(float(i % 2), Vectors.dense([float(i), 1.0, 2.0])) for i in range(20)]
+    trainer = BoostedTreeClassifier(numRound=1, maxDepth=1, allowNonZeroForMissing=True)
+    with pytest.raises(ValueError, match="entries"):
+        trainer.fit(spark.createDataFrame(short + long, ["label", "features"]))
+    model = trainer.fit(spark.createDataFrame(short, ["label", "features"]))
+    with pytest.raises(Exception, match="does not have 1 entries"):
+        model.transform(spark.createDataFrame(long, ["label", "features"])).collect()
+
+
+def test_workers_are_a_lower_bound(spark, points, monkeypatch):
+    seen = []
+    kind = type(points)
+    monkeypatch.setattr(kind, "repartition", lambda self, n, *c, f=kind.repartition: (seen.append(n), f(self, n, *c))[1])
+    BoostedTreeClassifier(inputCols=["a", "b"], numRound=1, maxDepth=1, numWorkers=3).fit(points.repartition(16))
+    assert max(n for n in seen if isinstance(n, int)) >= spark.sparkContext.defaultParallelism
+
+
+def test_cuts_beside_a_spike(spark):
+    df = spark.range(200_000).select(F.when(F.col("id") % 100 < 92, 0.0).otherwise((F.col("id") * 7919 % 100_000).cast("double")).alias("v"))
+    cuts = cut_points(df, ["v"], 32)[0]
+    assert len(cuts) <= 31 and len([c for c in cuts if c > 0]) >= 20
 
 
 def test_no_split_is_still_a_model(spark):

@@ -1,12 +1,12 @@
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.ml.feature import IndexToString, StringIndexerModel
+from pyspark.ml.feature import IndexToString
 from pyspark.sql import functions as F
 
 from gapwise.operators.category import (
     CategoryIndexer,
-    CategoryTableModel,
+    CategoryModel,
     category_counts,
     category_dictionary,
     label_indexer,
@@ -29,26 +29,24 @@ def letters(spark):
 
 def test_rank_order_ties_and_null(letters):
     model = CategoryIndexer(inputCols=["v"], outputCols=["i"]).fit(letters)
-    assert isinstance(model, StringIndexerModel)
-    assert model.labelsArray == [("A", "B", "C", "D")] or list(model.labelsArray[0]) == ["A", "B", "C", "D"]
+    assert isinstance(model, CategoryModel)
     assert index(letters, model) == [0, 1, 1, 0, 2, 3, 4]
 
 
 def test_unseen_values(spark, letters):
     other = spark.createDataFrame([(0, "Z"), (1, "A")], "k int, v string")
-    for limit in (100, 1):
-        fit = lambda policy: CategoryIndexer(
-            inputCols=["v"], outputCols=["i"], handleInvalid=policy, driverLabels=limit
-        ).fit(letters)
-        assert index(other, fit("keep")) == [4, 0]
-        assert index(other, fit("skip")) == [0]
-        with pytest.raises(Exception):
-            fit("error").transform(other).collect()
+    fit = lambda policy: CategoryIndexer(inputCols=["v"], outputCols=["i"], handleInvalid=policy).fit(letters)
+    assert index(other, fit("keep")) == [4, 0]
+    assert index(other, fit("skip")) == [0]
+    with pytest.raises(Exception):
+        fit("error").transform(other).collect()
 
 
 def test_dictionary_table_gives_the_same_indices(spark, letters):
-    model = CategoryIndexer(inputCols=["v"], outputCols=["i"], driverLabels=2).fit(letters)
-    assert isinstance(model, CategoryTableModel)
+    model = CategoryIndexer(inputCols=["v"], outputCols=["i"]).fit(letters)
+    out = model.transform(letters)
+    assert out.schema["i"].metadata["ml_attr"]["num_vals"] == 5
+    assert model.transform(letters.drop("v")).columns == ["k"]
     assert index(letters, model) == [0, 1, 1, 0, 2, 3, 4]
     assert {(r["value"], r["idx"]) for r in read_dictionary(spark, model).collect()} == {
         ("A", 0), ("B", 1), ("C", 2), ("D", 3),
@@ -78,7 +76,7 @@ def test_hot_and_null_values_are_not_joined_in_one_place(spark):
         .when(F.col("id") % 3 == 1, "hot")
         .otherwise(F.concat(F.lit("v"), F.col("id"))).alias("v"),
     )
-    model = CategoryIndexer(inputCols=["v"], outputCols=["i"], driverLabels=10).fit(df)
+    model = CategoryIndexer(inputCols=["v"], outputCols=["i"], handleInvalid="keep").fit(df)
     for name, value in {
         "spark.sql.adaptive.enabled": "false",
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -96,6 +94,28 @@ def test_hot_and_null_values_are_not_joined_in_one_place(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_unseen_hot_value_is_spread(spark, letters):
+    model = CategoryIndexer(inputCols=["v"], outputCols=["i"]).fit(letters)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        out = model.transform(spark.range(0, 8000, 1, 8).select(F.col("id").alias("k"), F.lit("new").alias("v")))
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 8000 and len(sizes) > 1 and max(sizes) < 6000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_saved_model_holds_its_dictionary(spark, letters, tmp_path):
+    model = CategoryIndexer(inputCols=["v"], outputCols=["i"]).fit(letters)
+    model.save(str(tmp_path / "m"))
+    path = model.getOrDefault("dictionaryPath")
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    assert index(letters, CategoryModel.load(str(tmp_path / "m"))) == [0, 1, 1, 0, 2, 3, 4]
+
+
 def test_label_index_and_back(census):
     model = label_indexer(census, "income")
     assert list(model.labels) == ["<=50K", ">50K"]
@@ -114,7 +134,7 @@ def test_absent_label_column_passes_through(census):
 def test_round_trip(spark, words):
     df = spark.createDataFrame([(w,) for w in words], "v string")
     model = CategoryIndexer(inputCols=["v"], outputCols=["i"]).fit(df)
-    back = IndexToString(inputCol="i", outputCol="back", labels=list(model.labelsArray[0]))
+    back = IndexToString(inputCol="i", outputCol="back", labels=[r["value"] for r in read_dictionary(spark, model).orderBy("idx").collect()])
     assert back.transform(model.transform(df)).filter("back <> v").count() == 0
 
 
