@@ -14,9 +14,11 @@ How the corpus' order of suffixes is had without sorting all suffixes:
   context met twice settles all its strings at once; that is what makes highly repetitive
   text cheap, a copy costs one line for each phrase. A gram met once settles that its phrase
   has no repeats.
-* *Parse.* Only where one gram has different contexts, at the edges of repeats, are strings
-  compared, and then only one context of each kind: the strings inside are spelled out as
-  hashes of their own, and those met twice are repeats.
+* *Parse.* Only where one gram has different contexts, at the edges of repeats, does it go on,
+  and then only with one context of each kind. It is cut into blocks of ``BLOCK`` strings at
+  places counted from the trigger, which are treated like phrases: all strings of a block share
+  its core of bytes, so a core met once settles that none is a repeat, a context met twice that
+  all are. Only blocks between the two have their strings compared one by one.
 
 Rows of one key are combined inside each map task before the shuffle, so a passage in a third of
 all documents reaches its reducer about once for each task. Comparisons are by two independent
@@ -32,6 +34,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -42,6 +45,7 @@ from gapwise.scratch import Scratch
 GROUP_BYTES = 1 << 20
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 LOCAL_ROWS = 1 << 20
+BLOCK = 16
 
 
 @lru_cache(maxsize=4)
@@ -86,10 +90,10 @@ def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def phrases(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """For one text: trigger hash, context hash, first string start and number of strings of each phrase."""
+    """For one text: trigger hash, context hash, first string, number of strings, and trigger less first string."""
     if len(data) < length:
         none = np.empty(0, np.int64)
-        return none.astype(np.uint64), none.astype(np.uint64), none, none
+        return none.astype(np.uint64), none.astype(np.uint64), none, none, none
     hashes = rolling(data, gram, 0)
     # the upper 32 bits of the hash order the grams, the place breaks ties to the left
     order = ((hashes >> np.uint64(32)) << np.uint64(32)) | np.arange(len(hashes), dtype=np.uint64)
@@ -97,107 +101,180 @@ def phrases(data: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
     first = np.flatnonzero(np.concatenate(([True], trigger[1:] != trigger[:-1])))
     count = np.diff(np.append(first, len(trigger)))
     at = trigger[first]
-    prefix = _prefix(data)
-    context = mix(_between(prefix, first, first + count - 1 + length) + (at - first).astype(np.uint64) * np.uint64(BASES[1]) + count.astype(np.uint64))
-    return hashes[at], context, first, count
+    return hashes[at], _context(_prefix(data, 1), first, count, length, at - first), first, count, at - first
+
+
+def blocks(data: np.ndarray, length: int, first: np.ndarray, count: np.ndarray, lead: np.ndarray) -> tuple[np.ndarray, ...]:
+    """The blocks of phrases: core hash, context hash, first string, number of strings."""
+    trigger = first + lead
+    low, high = -lead // BLOCK, (count - 1 - lead) // BLOCK
+    n = high - low + 1
+    owner = np.repeat(np.arange(len(first)), n)
+    number = np.arange(len(owner)) - np.repeat(np.cumsum(n) - n, n) + low[owner]
+    begin = trigger[owner] + BLOCK * number
+    start = np.maximum(first[owner], begin)
+    size = np.minimum((first + count)[owner], begin + BLOCK) - start
+    core = _between(_prefix(data, 0), begin + BLOCK - 1, begin + length, 0)
+    with np.errstate(over="ignore"):
+        core = mix(core + number.astype(np.uint64) * np.uint64(BASES[0]))
+    return core, _context(_prefix(data, 1), start, size, length, start - begin), start, size
 
 
-@lru_cache(maxsize=2)
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    base = BASES[1]
+@lru_cache(maxsize=4)
+def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    base = BASES[which]
     up, down = np.full(n + 1, base, np.uint64), np.full(n + 1, pow(base, -1, 1 << 64), np.uint64)
     up[0] = down[0] = 1
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-def _prefix(data: np.ndarray) -> np.ndarray:
-    up, _ = _powers(GROUP_BYTES + 4096)
+def _prefix(data: np.ndarray, which: int) -> np.ndarray:
+    """Running sums from which ``_between`` takes the hash of any part."""
+    up, _ = _powers(GROUP_BYTES + 4096, which)
     with np.errstate(over="ignore"):
-        return np.concatenate(([np.uint64(0)], np.cumsum(_letters(1)[data] * up[: len(data)], dtype=np.uint64)))
+        return np.concatenate((np.zeros(1, np.uint64), np.cumsum(_letters(which)[data] * up[: len(data)], dtype=np.uint64)))
 
 
-def _between(prefix: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, down = _powers(GROUP_BYTES + 4096)
+def _between(prefix: np.ndarray, start: np.ndarray, end: np.ndarray, which: int) -> np.ndarray:
+    _, down = _powers(GROUP_BYTES + 4096, which)
     with np.errstate(over="ignore"):
         return (prefix[end] - prefix[start]) * down[start]
 
 
+def _context(prefix: np.ndarray, start: np.ndarray, count: np.ndarray, length: int, shift: np.ndarray) -> np.ndarray:
+    """A hash of all bytes of ``count`` strings and of where they lie from their trigger or block."""
+    with np.errstate(over="ignore"):
+        return mix(_between(prefix, start, start + count - 1 + length, 1) + shift.astype(np.uint64) * np.uint64(BASES[1]) + count.astype(np.uint64))
+
+
 def stretches(text: bytes, length: int):
     """A text in overlapping stretches of bounded size: every string of ``length`` bytes starts in one."""
     for at in range(0, max(1, len(text) - length + 1), GROUP_BYTES):
         yield at, np.frombuffer(text, np.uint8)[at : at + GROUP_BYTES + length - 1]
 
 
+def _squeezed(df: DataFrame) -> DataFrame:
+    """``df`` with the column ``text`` as compressed bytes, which halves what a shuffle of texts moves."""
+
+    def run(texts: pa.Array) -> pa.Array:
+        squeeze = zstandard.ZstdCompressor(level=3).compress
+        return pa.array([squeeze(encoded(t)) if t else None for t in texts.to_pylist()], pa.binary())
+
+    return df.withColumn("text", F.arrow_udf(run, "binary")(F.col("text")))
+
+
 def _bytes_of(value) -> bytes:
-    text = value.as_py()
-    return encoded(text) if text else b""
+    squeezed = value.as_py()
+    return zstandard.ZstdDecompressor().decompress(squeezed) if squeezed else b""
 
 
-PHRASE = "row long, at long, n int, gram long, context long, settled boolean"
+PHRASE = "row long, at long, n int, lead int, key long, context long, settled boolean"
 
 
-def _phrase_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
-    """One line for each phrase. Inside a task, contexts met again are settled at once.
+def _told(parts) -> pa.RecordBatch:
+    """Lines of phrases or blocks, contexts met again inside the task being settled at once.
 
     A settled line carries a key of its own, so that it is not compared again, while the first
     line of its context goes on with the key that all tasks share.
     """
+    rows, at, n, lead, keys, contexts = (np.concatenate(c) for c in zip(*parts))
+    order = np.lexsort((at, rows, contexts, keys))
+    rows, at, n, lead, keys, contexts = (c[order] for c in (rows, at, n, lead, keys, contexts))
+    again = np.concatenate(([False], (keys[1:] == keys[:-1]) & (contexts[1:] == contexts[:-1])))
+    has_again = np.concatenate((again[1:], [False])) & ~again
+    with np.errstate(over="ignore"):
+        own = mix(rows.astype(np.uint64) * np.uint64(BASES[0]) + at.astype(np.uint64))
+    keys = np.where(again, own, keys)
+    # the first of several is settled as well, but stays to be met by other tasks
+    columns = [rows, at, n.astype(np.int32), lead.astype(np.int32), keys.view(np.int64), contexts.view(np.int64), again | has_again]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["row", "at", "n", "lead", "key", "context", "settled"])
+
+
+def _gathered(batches, lines) -> Iterator[pa.RecordBatch]:
+    """The lines of all texts, told in groups of bounded size."""
+    parts, held = [], 0
+    for batch in batches:
+        for part in lines(batch):
+            parts.append(part)
+            held += len(part[0])
+            if held >= LOCAL_ROWS:
+                yield _told(parts)
+                parts, held = [], 0
+    if parts:
+        yield _told(parts)
+
+
+def _phrase_rows(texts: DataFrame, length: int, gram: int) -> DataFrame:
+    """One line for each phrase of plain texts."""
+
+    def lines(batch):
+        for row, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for base, data in stretches(encoded(text.as_py() or ""), length):
+                keys, contexts, first, count, lead = phrases(data, length, gram)
+                if len(first):
+                    yield np.full(len(first), row), first + base, count, lead, keys, contexts
+
+    return texts.select("row", "text").mapInArrow(lambda batches: _gathered(batches, lines), PHRASE)
 
-    def flush(parts):
-        rows, at, n, grams, contexts = (np.concatenate(c) for c in zip(*parts))
-        order = np.lexsort((at, rows, contexts, grams))
-        rows, at, n, grams, contexts = rows[order], at[order], n[order], grams[order], contexts[order]
-        again = np.concatenate(([False], (grams[1:] == grams[:-1]) & (contexts[1:] == contexts[:-1])))
-        has_again = np.concatenate((again[1:], [False])) & ~again
-        with np.errstate(over="ignore"):
-            own = mix(rows.astype(np.uint64) * np.uint64(BASES[0]) + at.astype(np.uint64))
-        grams = np.where(again, own, grams)
-        # the first of several is settled as well, but stays to be met by other tasks
-        settled = again | has_again
-        return pa.RecordBatch.from_arrays(
-            [pa.array(rows), pa.array(at), pa.array(n.astype(np.int32)), pa.array(grams.view(np.int64)), pa.array(contexts.view(np.int64)), pa.array(settled)],
-            names=["row", "at", "n", "gram", "context", "settled"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts, held = [], 0
-        for batch in batches:
-            for row, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-                for base, data in stretches(_bytes_of(value), length):
-                    grams, contexts, first, count = phrases(data, length, gram)
-                    if len(first):
-                        parts.append((np.full(len(first), row), first + base, count, grams, contexts))
-                        held += len(first)
-                if held >= LOCAL_ROWS:
-                    yield flush(parts)
-                    parts, held = [], 0
-        if parts:
-            yield flush(parts)
 
-    return texts.select("row", "text").mapInArrow(run, PHRASE)
+def _listed(batch, length: int):
+    """Row, base, data and the listed phrases or blocks of each stretch: (first, count, lead) from its base."""
+    for row, value, listed in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2)):
+        text = _bytes_of(value)
+        at, n, lead = (listed.values.field(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("at", "n", "lead"))
+        for base, data in stretches(text, length):
+            here = (at >= base) & (at < base + GROUP_BYTES)
+            if here.any():
+                yield row, base, data, at[here] - base, n[here], lead[here]
+
+
+def _block_rows(texts: DataFrame, length: int) -> DataFrame:
+    """One line for each block of the listed phrases of squeezed texts (row, text, listed)."""
+
+    def lines(batch):
+        for row, base, data, first, count, lead in _listed(batch, length):
+            core, context, start, size = blocks(data, length, first, count, lead)
+            yield np.full(len(start), row), start + base, size, np.zeros(len(start), np.int64), core, context
+
+    return texts.mapInArrow(lambda batches: _gathered(batches, lines), PHRASE)
 
 
 def _string_rows(texts: DataFrame, length: int) -> DataFrame:
-    """(row, at, a, b): two hashes of every string inside the listed phrases."""
+    """(row, at, a, b): two hashes of every string inside the listed blocks."""
 
     def run(batches):
         for batch in batches:
-            for row, value, ats, ns in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
-                data = np.frombuffer(_bytes_of(value), np.uint8)
-                for k in range(0, len(ats), 4096):
-                    # each phrase is hashed from its own bytes: a few hundred for each
-                    parts = []
-                    for at, n in zip(ats[k : k + 4096], ns[k : k + 4096]):
-                        own = data[at : at + n - 1 + length]
-                        parts.append((np.arange(at, at + n), rolling(own, length, 0), rolling(own, length, 1)))
-                    at, a, b = (np.concatenate(c) for c in zip(*parts))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(at), row)), pa.array(at), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["row", "at", "a", "b"]
-                    )
+            for row, base, data, first, count, _ in _listed(batch, length):
+                at = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+                a, b = (mix(_between(_prefix(data, k), at, at + length, k)) for k in (0, 1))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), row)), pa.array(at + base), pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["row", "at", "a", "b"]
+                )
 
     return texts.mapInArrow(run, "row long, at long, a long, b long")
 
 
+def _compared(lines: DataFrame) -> DataFrame:
+    """Lines that are settled, or open: one of each context of a key that has several."""
+    by_key, by_both = Window.partitionBy("key"), Window.partitionBy("key", "context")
+    return (
+        lines.withColumn("low", F.min("context").over(by_key))
+        .withColumn("high", F.max("context").over(by_key))
+        .withColumn("same", F.count("*").over(by_both))
+        .withColumn("nth", F.row_number().over(by_both.orderBy("row", "at")))
+        .withColumn("settled", F.col("settled") | (F.col("same") > 1))
+        .withColumn("open", (F.col("low") < F.col("high")) & (F.col("nth") == 1))
+        .filter("settled OR open")
+        .select("row", "at", "n", "lead", "settled", "open")
+    )
+
+
+def _open_texts(texts: DataFrame, kinds: DataFrame) -> DataFrame:
+    """(row, text, listed) of the texts that have open lines."""
+    listed = kinds.filter("open").groupBy("row").agg(F.collect_list(F.struct("at", "n", "lead")).alias("listed"))
+    return texts.join(listed, "row").select("row", "text", "listed")
+
+
 RESULT = "row long, id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:long,end:long>>"
 
 
@@ -240,30 +317,22 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     keyed = base.withColumn("row", F.xxhash64("id", "text", F.col("id").isNull()))
     listed, _ = scratch.write(keyed.select("row", "id", F.sha2("text", 256).alias("sha")))
     groups = listed.filter("sha IS NOT NULL").groupBy("sha").agg(F.min("row").alias("first"), F.count("*").alias("copies"))
-    marked = listed.join(groups, "sha", "left").select("row", (F.coalesce("copies", F.lit(1)) > 1).alias("whole"), (F.col("first") == F.col("row")).alias("stands"))
+    marked = listed.join(groups, "sha", "left").select("row", (F.coalesce("copies", F.lit(1)) > 1).alias("whole"), F.coalesce(F.col("first") == F.col("row"), F.lit(True)).alias("stands"))
     marks, _ = scratch.write(marked.groupBy("row").agg(F.max("whole").alias("whole"), F.max("stands").alias("stands")))
 
-    standing = marks.filter("stands").select("row")
-    texts = keyed.select("row", "text").join(standing, "row", "left_semi").dropDuplicates(["row"])
-    raw = _phrase_rows(texts, length, gram)
-    gram_w, both_w = Window.partitionBy("gram"), Window.partitionBy("gram", "context")
-    compared = (
-        raw.withColumn("low", F.min("context").over(gram_w))
-        .withColumn("high", F.max("context").over(gram_w))
-        .withColumn("same", F.count("*").over(both_w))
-        .withColumn("nth", F.row_number().over(Window.partitionBy("gram", "context").orderBy("row", "at")))
-        .withColumn("settled", F.col("settled") | (F.col("same") > 1))
-        .withColumn("open", (F.col("low") < F.col("high")) & (F.col("nth") == 1))
-        .filter("settled OR open")
-        .select("row", "at", "n", "settled", "open")
-    )
-    kinds, _ = scratch.write(compared)
-    opened = kinds.filter("open").groupBy("row").agg(F.collect_list("at").alias("ats"), F.collect_list("n").alias("ns"))
-    strings = _string_rows(keyed.select("row", "text").join(opened, "row").dropDuplicates(["row"]).select("row", "text", "ats", "ns"), length)
-    met = strings.groupBy("a", "b").agg(F.count("*").alias("c"), F.min(F.struct("row", "at")).alias("one")).filter("c > 1").select("a", "b")
+    # Copies of a text that stands for them are left out; a row that comes twice may stay twice,
+    # since each of its strings does occur elsewhere.
+    copies, _ = scratch.write(marks.filter("NOT stands").select("row"))
+    texts = keyed.select("row", "text").filter(F.octet_length("text") >= length).join(copies, "row", "left_anti")
+    kinds, _ = scratch.write(_compared(_phrase_rows(texts, length, gram)))
+    squeezed = _squeezed(texts)
+    finer, _ = scratch.write(_compared(_block_rows(_open_texts(squeezed, kinds), length)))
+    strings = _string_rows(_open_texts(squeezed, finer), length)
+    met = strings.groupBy("a", "b").agg(F.count("*").alias("c")).filter("c > 1").select("a", "b")
     hits = strings.join(met, ["a", "b"], "left_semi").select("row", "at", F.lit(1).alias("n"))
-    starts = kinds.filter("settled").select("row", "at", "n").union(hits).groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("starts"))
+    every = kinds.filter("settled").select("row", "at", "n").union(finer.filter("settled").select("row", "at", "n")).union(hits)
+    starts = every.groupBy("row").agg(F.collect_list(F.struct("at", "n")).alias("starts"))
     # a whole text that is repeated is removed as it is; the others get their starts
-    work = keyed.join(marks.select("row", "whole"), "row").join(starts, "row", "left")
+    work = _squeezed(keyed).join(marks.select("row", "whole"), "row").join(starts, "row", "left")
     done = _result(work.select("row", "id", "text", "whole", "starts"), length)
     return done.select(F.col("id").alias(id_col), "n_bytes", "n_removed", "n_spans", "kept_sha256", "spans")
