@@ -12,9 +12,12 @@ How buckets are worked off without emitting all their pairs:
 1. Documents of equal sets become one class, represented by its smallest id.
 2. Every member of a bucket is checked against the bucket's smallest id, exactly, on sets.
 3. Components are formed. A bucket within one component has nothing left to find.
-4. In the remaining buckets members of *different* components are checked against each
-   other, again exactly. So no pair that meets in a bucket and could join two components is
-   left out.
+4. Buckets that hold several components are joined with themselves. The join itself asks for
+   different components, for the first bucket in which a pair meets, for the signature-distance
+   threshold and for a bound on the overlap from 16-bit forms of the sets, which never rules
+   out a link. So what comes out of it is hardly more than links, and these are checked exactly.
+   No pair that meets in a bucket and could join two components is left out, unless its
+   signatures differ in more than ``distance`` places.
 
 Defined results: null, blank and wordless texts have an empty set and are linked with
 nothing; rows without an id are their own component (null); repeated rows stay repeated.
@@ -23,11 +26,14 @@ nothing; rows without an id are their own component (null); repeated rows stay r
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
+from math import comb
+from operator import add
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gapwise.llm.common import LOWER, encoded, mix, window_hashes, word_hashes
@@ -113,12 +119,13 @@ def _keyed(classes: DataFrame, chunks: int, chunk_len: int, errors: int) -> Data
             signature = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(ids), -1)
             for at in range(0, len(ids), 4096):
                 keys = bucket_keys(signature[at : at + 4096], chunks, chunk_len, errors)
+                slots = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(ids[at : at + 4096], keys.shape[1]))],
-                    names=["key", "id"],
+                    [pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(ids[at : at + 4096], keys.shape[1])), pa.array(slots)],
+                    names=["key", "id", "slot"],
                 )
 
-    return classes.select("id", "signature").mapInArrow(run, "key long, id long")
+    return classes.select("id", "signature").mapInArrow(run, "key long, id long, slot int")
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -147,6 +154,52 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _packed(chunks: int, chunk_len: int) -> list[Column]:
+    """A signature as one long number for each chunk; a chunk has at most 7 minima."""
+    return [F.conv(F.hex(F.substring("signature", c * chunk_len + 1, chunk_len)), 16, 10).cast("long") for c in range(chunks)]
+
+
+def _places_apart(a: str, b: str) -> Column:
+    """In how many places two packed chunks differ: bytes of the exclusive-or that are not zero."""
+    low, high = F.lit(0x7F7F7F7F7F7F7F).cast("long"), F.lit(0x80808080808080).cast("long")
+    x = F.col(a).bitwiseXOR(F.col(b))
+    return F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(high))
+
+
+def _met_across(rows: DataFrame, sets: DataFrame, classes: DataFrame, chunks: int, chunk_len: int, errors: int, distance: int, percent: int) -> DataFrame:
+    """Pairs (u, v) of different components in one bucket that may be links; rows: key, slot, id, component."""
+    ways = comb(chunk_len, errors)
+    packed = [f"s{c}" for c in range(chunks)]
+    short = F.array_distinct(F.transform("items", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 32768).cast("short")))
+    full = (
+        rows.join(sets.select("id", F.size("items").alias("n"), short.alias("short")), "id")
+        .join(classes.select("id", *[c.alias(name) for name, c in zip(packed, _packed(chunks, chunk_len))]), "id")
+        .withColumn("lost", F.col("n") - F.size("short"))
+    )
+
+    def side(x: str) -> DataFrame:
+        return full.select(F.col("key").alias(f"{x}key"), *[F.col(c).alias(f"{x}{c}") for c in ("slot", "id", "component", "n", "lost", "short", *packed)])
+
+    apart = [_places_apart(f"a{c}", f"b{c}") for c in packed]
+    # the first chunk in which the pair may meet, and there the first choice of places left out
+    first = F.lit(True)
+    for c in range(chunks):
+        first = first & ((F.col("aslot") < (c + 1) * ways) | (apart[c] > errors))
+        own = (F.col("aslot") >= c * ways) & (F.col("aslot") < (c + 1) * ways)
+        first = first & (~own | (apart[c] == errors) | (F.col("aslot") == c * ways)) if errors == 1 else first
+    most = F.size(F.array_intersect("ashort", "bshort")) + F.least("alost", "blost")
+    fits = (
+        (F.col("aid") > F.col("bid"))
+        & (F.col("acomponent") != F.col("bcomponent"))
+        & (100 * F.least("an", "bn") >= percent * F.greatest("an", "bn"))
+        & (reduce(add, apart) <= distance)
+        & first
+        & ((100 + percent) * most >= percent * (F.col("an") + F.col("bn")))
+    )
+    met = side("a").join(side("b"), (F.col("akey") == F.col("bkey")) & fits)
+    return met.select(F.col("aid").alias("u"), F.col("bid").alias("v")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -156,6 +209,7 @@ def near_duplicates(
     chunks: int = 10,
     chunk_len: int = 7,
     errors: int = 1,
+    distance: int = 27,
 ) -> DataFrame:
     """One row for each document: id, n_shingles, component_id, kept.
 
@@ -163,9 +217,11 @@ def near_duplicates(
     ``component_id`` is the smallest id reachable by links; a document is kept if it is that.
     Longer chunks suit larger corpora: they make chance meetings rarer and need more chunks
     for the same recall. At similarity 0.8 a pair misses all buckets of the defaults with a
-    probability of 0.0002. Ids need to be integers; of several texts under one id the
+    probability of 0.0002, and lies beyond ``distance`` with one of 0.00003. Ids need to be integers; of several texts under one id the
     smallest id of each text's class counts.
     """
+    if chunk_len > 7:
+        raise ValueError("a chunk has at most 7 minima")
     scratch = Scratch(docs.sparkSession)
     docs = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed, _ = scratch.write(_signed(docs, shingle, chunks * chunk_len))
@@ -183,15 +239,12 @@ def near_duplicates(
     linked, _ = scratch.write(_confirmed(first, sets, percent))
     stars = components(linked, scratch)
 
-    labelled = met.join(stars, "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"))
+    labelled = met.join(stars, "id", "left").select("key", "slot", "id", F.coalesce("component", "id").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
     open_rows, _ = scratch.write(labelled.join(mixed.select("key"), "key", "left_semi"))
-    a = open_rows.select("key", F.col("id").alias("u"), F.col("component").alias("cu"))
-    b = open_rows.select("key", F.col("id").alias("v"), F.col("component").alias("cv"))
-    across = a.join(b, "key").filter("u > v AND cu <> cv").select("u", "v").distinct()
-    rest, _ = scratch.write(across.join(first, ["u", "v"], "left_anti"))
-    if not rest.isEmpty():
-        more = _confirmed(rest, sets, percent)
+    across, _ = scratch.write(_met_across(open_rows, sets, classes, chunks, chunk_len, errors, distance, percent))
+    more, _ = scratch.write(_confirmed(across, sets, percent))
+    if not more.isEmpty():
         stars = components(linked.union(more), scratch)
 
     of_class = classes.join(stars, "id", "left").select(*group, F.coalesce("component", "id").alias("found"))
