@@ -118,9 +118,12 @@ def disclosing_terms(
     after = F.when(F.length(after) == reach, F.regexp_replace(after, r"[\p{L}\p{N}_'-]+$", "")).otherwise(after)
     terms = F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws(" | ", before, after)), F.lit(TERM), F.lit(0)))
     near = each.select("h", F.xxhash64("x.rank", entity).alias("entity"), F.explode(terms).alias("term")).filter(F.length("term") >= 3)
-    joint, _ = scratch.write(
-        near.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= least_texts)
-    )
+    near, _ = scratch.write(near.distinct())
+    # a term stands in at least as many texts as it stands near any entity in: what falls short
+    # of the share on that count alone needs no count over the corpus
+    beside = near.select("h", "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
+    joint = near.groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= least_texts)
+    joint, _ = scratch.write(joint.join(beside, "term").filter(F.col("n_te") >= general_share * F.col("n_near")).drop("n_near"))
     of_entity = each.select("h", F.xxhash64("x.rank", entity).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
     candidates, _ = scratch.write(joint.select("term").distinct())
     # equal texts count once: one row for each hash
