@@ -22,6 +22,7 @@ from __future__ import annotations
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations_with_replacement
 
 import numpy as np
@@ -34,6 +35,7 @@ from gapwise.scratch import Scratch
 
 CACHED_WORDS = 400_000
 TEXTS_AT_ONCE = 128
+MARKS = ".,!?;:"
 WEIGHT = 1.0
 FITTED_SHARE = 0.9
 
@@ -51,27 +53,67 @@ class WordTokens:
         self._tokenizer = Tokenizer.from_file(path)
         self._tokenizer.no_padding()
         self._tokenizer.no_truncation()
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._marks = {mark: self._alone([mark])[0] for mark in MARKS}
         self._ids: dict[str, bytes] = {"": b""}
+        self._stems: dict[str, bytes] = {}
+
+    def _alone(self, words: list[str]) -> list[bytes]:
+        return [np.array(found.ids, "<u4").tobytes() for found in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+
+    def _learn_stems(self, stems: list[str]) -> None:
+        """Words of letters end in a token that says so; many are encoded as one text and cut there."""
+        for at in range(0, len(stems), 1024):
+            part = stems[at : at + 1024]
+            ids = np.array(self._tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)[0].ids, "<u4")
+            ends = 4 * (np.flatnonzero(self._ends[ids]) + 1)
+            if len(ends) == len(part):
+                raw, cuts = ids.tobytes(), [0, *ends.tolist()]
+                self._stems.update(zip(part, map(raw.__getitem__, map(slice, cuts, cuts[1:]))))
+            else:
+                self._stems.update(zip(part, self._alone(part)))
+
+    def _learn(self, words: list[str]) -> None:
+        simple, odd = [], []
+        for word in words:
+            stem, mark = (word[:-1], word[-1]) if word[-1] in self._marks else (word, "")
+            low = stem.lower()
+            if low.isalpha() and stem.isalpha():
+                # other letters than ASCII may be lowered differently by the tokenizer: left as they are
+                simple.append((word, low if stem.isascii() else stem, mark))
+            else:
+                odd.append(word)
+        self._learn_stems(list({stem for _, stem, _ in simple}.difference(self._stems)))
+        for word, stem, mark in simple:
+            self._ids[word] = self._stems[stem] + self._marks[mark] if mark else self._stems[stem]
+        for at in range(0, len(odd), 1024):
+            self._ids.update(zip(odd[at : at + 1024], self._alone(odd[at : at + 1024])))
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
         split = [t.replace("\n", " ").split(" ") for t in texts]
         if len(self._ids) > CACHED_WORDS:
             self._ids = {"": b""}
-        new = list(set().union(*split).difference(self._ids))
-        for at in range(0, len(new), 4096):
-            part = new[at : at + 4096]
-            for word, found in zip(part, self._tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self._ids[word] = np.array(found.ids, "<u4").tobytes()
+        if len(self._stems) > CACHED_WORDS:
+            self._stems = {}
+        self._learn(list(set().union(*split).difference(self._ids)))
         return [b"".join(map(self._ids.__getitem__, words)) for words in split]
 
 
+@lru_cache(maxsize=1)
+def word_tokens(path: str) -> WordTokens:
+    """One tokenizer for each worker process, so that its words outlast a task."""
+    return WordTokens(path)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, size: int, end_id: int) -> DataFrame:
     """(id, piece, start, length, ids_crc32) of every document; ``start`` counts the tokens before."""
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens(tokenizer_path)
+        tokens = word_tokens(tokenizer_path)
         for batch in batches:
             for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
                 part = batch.slice(at, TEXTS_AT_ONCE)
