@@ -31,7 +31,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    model = toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.fit(docs, toxicity.training_labels(table(spark, sf_dir, "labels")))
     return toxicity.scored(docs.select(*COLUMNS), model).filter("toxicity.score < 0.5").select(*COLUMNS)
 
 

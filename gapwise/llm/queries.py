@@ -59,7 +59,7 @@ def op6_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    model = toxicity.fit(toxicity.labelled_rows(docs, table(spark, sf_dir, "labels")))
+    model = toxicity.fit(docs, toxicity.training_labels(table(spark, sf_dir, "labels")))
     score = F.col("toxicity.score")
     return toxicity.scored(docs.select("doc_id", "text"), model).select(
         "doc_id",

@@ -136,10 +136,11 @@ def _train(bags: list[list[list[int]]], labels: np.ndarray, n_words: int, bias:
 
 
 def fit(
-    labelled: DataFrame,
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
     text_col: str = "text",
     label_col: str = "toxic",
-    order_col: str = "doc_id",
     sample_rows: int = 4000,
     sample_chars: int = 20_000,
     vocabulary: int = 4000,
@@ -147,16 +148,19 @@ def fit(
     least_weight: float = 1.5,
     steps: int = 120,
 ) -> ToxicityModel:
-    """Learn from (text, label) rows. ``order_col`` only draws the bounded sample."""
-    rows = (
-        labelled.filter(F.col(label_col).isin(0, 1) & F.col(text_col).isNotNull() & (F.length(text_col) <= sample_chars))
-        .select(F.col(text_col).alias("text"), F.col(label_col).cast("int").alias("label"), F.xxhash64(F.lit("sample"), F.col(order_col).cast("string")).alias("h"))
-    )
-    totals = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    """Learn from texts and the labels of their ids.
+
+    The sample is drawn among the labels, before any text is read: about ``sample_rows`` ids of
+    each label. So few ids may be broadcast, whatever the size of the corpus.
+    """
+    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+    totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not totals.get(1) or not totals.get(0):
         return ToxicityModel()
     part = F.when(F.col("label") == 1, F.lit(sample_rows / totals[1])).otherwise(F.lit(sample_rows / totals[0]))
-    sample = rows.filter(F.pmod("h", F.lit(1_000_000)) < part * 1_000_000).select("text", "label").cache()
+    drawn = known.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col("id").cast("string")), F.lit(1_000_000)) < part * 1_000_000)
+    texts = docs.filter(F.col(text_col).isNotNull() & (F.length(text_col) <= sample_chars)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = texts.join(F.broadcast(drawn), "id").select("text", "label").cache()
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
@@ -186,7 +190,6 @@ def fit(
     return ToxicityModel(weights={word: float(weights[k]) for word, k in index.items() if abs(weights[k]) >= least_weight})
 
 
-def labelled_rows(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id") -> DataFrame:
-    """Texts with labels, without the fifth that is held out by the id's checksum."""
-    ids = labels.filter(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(5)) != 0).select(F.col(id_col), F.col(label_col))
-    return docs.select(F.col(id_col), F.col("text")).join(ids.filter(F.col(label_col).isNotNull()), id_col)
+def training_labels(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The labels without the fifth of the ids that their checksum holds out."""
+    return labels.filter(F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(5)) != 0)
