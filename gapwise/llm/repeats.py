@@ -44,7 +44,7 @@ from gapwise.scratch import Scratch
 #: Bytes of text that are worked on together.
 GROUP_BYTES = 1 << 20
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
-LOCAL_ROWS = 1 << 20
+LOCAL_ROWS = 1 << 18
 BLOCK = 16
 
 
