@@ -2,15 +2,21 @@
 
 Base findings are e-mail addresses, IP addresses, card numbers and phone numbers. Beyond
 them, terms may disclose an entity although they match no pattern: a name that stands only
-beside one address, say. For a term t and an entity e, counted over *distinct* texts of the
-whole corpus,
+beside one address, say. Entities are protected at three
+levels: the exact value, its group (e-mail domain, the first three parts of an address, the
+first six digits of a card, a phone number without its last four digits) and its kind. So a
+term beside many values that occur once each counts too. For a term t and an entity e of any
+level, counted over *distinct* texts of the whole corpus,
 
     share(t, e) = n(t and e) / n(t)                      how surely t points at e
     bits(t, e)  = log2(n(t and e) * N / (n(t) * n(e)))   pointwise mutual information
+    whole(e)    = log2(N / n(e))                         all there is to know about e
 
-where "t and e" counts texts that hold t within ``reach`` characters of e. A term is
-*removed* where share reaches ``remove_share``, and *generalised* to a placeholder where it
-reaches ``general_share``; both need ``least_bits`` and ``least_texts`` texts.
+where "t and e" counts texts that hold t within ``reach`` characters of e. With fewer than
+``least_texts`` such texts the share is smoothed towards n(e) / N by ``prior`` texts. A term
+is *generalised* to a placeholder where its share reaches ``general_share``, and *removed*
+where it reaches ``remove_share`` in ``least_texts`` texts or more. Both need ``least_bits``
+or, for entities too frequent to give as many, ``general_share`` of whole(e).
 
 Everything is DataFrame functions. Positions are code points, ends exclusive. Defined results:
 null and empty texts have no findings; rows and their repeats each get their own findings.
@@ -95,6 +101,28 @@ def base_findings(docs: DataFrame, text_col: str = "text", keep: bool = False) -
     return df if keep else df.select(*columns, *[f"pii_{k}" for k in PATTERNS])
 
 
+def _levels(x: Column) -> Column:
+    """Keys of a finding at its levels: value, group, kind."""
+    rank, lower, digits = x["rank"], F.lower(x["value"]), _digits(x["value"])
+    value = F.when(rank < 2, lower).otherwise(digits)
+    group = (
+        F.when(rank == 0, F.substring_index(lower, "@", -1))
+        .when(rank == 1, F.substring_index(lower, ".", 3))
+        .when(rank == 2, F.left(digits, F.lit(6)))
+        .otherwise(F.left(digits, F.length(digits) - 4))
+    )
+    return F.array(F.xxhash64(F.lit(0), rank, value), F.xxhash64(F.lit(1), rank, group), F.xxhash64(F.lit(2), rank))
+
+
+def _with_counts(df: DataFrame, counts: DataFrame, key: str, n: str) -> DataFrame:
+    """``df`` with its keys' ``counts``. Keys with a thousandth of the sum, which are few, are
+    broadcast, so that no task of the join gets all rows of a frequent one."""
+    hot = F.col(n) * 1000 >= F.lit(counts.agg(F.sum(n)).first()[0] or 0)
+    frequent = F.broadcast(counts.filter(hot))
+    rest = df.join(frequent.select(key), key, "left_anti").join(counts.filter(~hot), key)
+    return df.join(frequent, key).unionByName(rest)
+
+
 def disclosing_terms(
     docs: DataFrame,
     text_col: str = "text",
@@ -103,43 +131,50 @@ def disclosing_terms(
     least_bits: float = 3.0,
     general_share: float = 0.8,
     remove_share: float = 0.95,
+    prior: float = 0.25,
     scratch: Scratch | None = None,
 ) -> DataFrame:
     """The corpus' disclosing terms: term, share, bits, action ('remove' or 'generalise')."""
     scratch = scratch or Scratch(docs.sparkSession)
     texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(text_col).alias("text"))
     found = base_findings(texts).withColumn("found", F.concat(*[f"pii_{k}" for k in PATTERNS])).filter(F.size("found") > 0)
-    each = found.select(F.xxhash64("text").alias("h"), "text", F.explode("found").alias("x"))
-    entity = F.when(F.col("x.rank") < 2, F.lower("x.value")).otherwise(_digits(F.col("x.value")))
+    found, _ = scratch.write(found.select(F.xxhash64("text").alias("h"), "text", "found"))
+    each = found.select("h", "text", F.explode("found").alias("x")).withColumn("entities", _levels(F.col("x")))
     before = F.substring("text", F.greatest(F.lit(1), F.col("x.start") - reach + 1), F.least(F.col("x.start"), F.lit(reach)))
     after = F.substring("text", F.col("x.end") + 1, F.lit(reach))
     # the word cut off at the far edge of the reach is left out
     before = F.when(F.col("x.start") > reach, F.regexp_replace(before, r"^[\p{L}\p{N}_'-]+", "")).otherwise(before)
     after = F.when(F.length(after) == reach, F.regexp_replace(after, r"[\p{L}\p{N}_'-]+$", "")).otherwise(after)
     terms = F.array_distinct(F.regexp_extract_all(F.lower(F.concat_ws(" | ", before, after)), F.lit(TERM), F.lit(0)))
-    near = each.select("h", F.xxhash64("x.rank", entity).alias("entity"), F.explode(terms).alias("term")).filter(F.length("term") >= 3)
-    near, _ = scratch.write(near.distinct())
-    # a term stands in at least as many texts as it stands near any entity in: what falls short
-    # of the share on that count alone needs no count over the corpus
-    beside = near.select("h", "term").distinct().groupBy("term").agg(F.count("*").alias("n_near"))
-    joint = near.groupBy("entity", "term").agg(F.count("*").alias("n_te")).filter(F.col("n_te") >= least_texts)
-    joint, _ = scratch.write(joint.join(beside, "term").filter(F.col("n_te") >= general_share * F.col("n_near")).drop("n_near"))
-    of_entity = each.select("h", F.xxhash64("x.rank", entity).alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    near = each.select("h", "entities", F.explode(terms).alias("term")).select("h", F.explode("entities").alias("entity"), "term")
+    joint, _ = scratch.write(near.distinct().groupBy("entity", "term").agg(F.count("*").alias("n_te")))
+    # a term stands in at least as many texts as those with findings that hold it: what falls
+    # short of the share on that count alone needs no count over the corpus
+    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
+    inside = found.select("h", F.explode(words).alias("term")).distinct().groupBy("term").agg(F.count("*").alias("n_found"))
+    inside, _ = scratch.write(inside)
+    joint, _ = scratch.write(_with_counts(joint, inside, "term", "n_found").filter(F.col("n_te") >= general_share * F.col("n_found")).drop("n_found"))
+    of_entity = each.select("h", F.explode("entities").alias("entity")).distinct().groupBy("entity").agg(F.count("*").alias("n_e"))
+    of_entity, _ = scratch.write(of_entity)
     candidates, _ = scratch.write(joint.select("term").distinct())
     # equal texts count once: one row for each hash
-    words = F.array_distinct(F.regexp_extract_all(F.lower("text"), F.lit(TERM), F.lit(0)))
     spread = texts.select(F.xxhash64("text").alias("h"), F.explode(words).alias("term"))
     of_term = spread.join(candidates, "term", "left_semi").distinct().groupBy("term").agg(F.count("*").alias("n_t"))
-    n = texts.select(F.xxhash64("text").alias("h")).distinct().count()
-    rated = joint.join(of_entity, "entity").join(of_term, "term").select(
+    n = float(texts.select(F.xxhash64("text").alias("h")).distinct().count())
+    share = F.col("n_te") / F.col("n_t")
+    smooth = (F.col("n_te") + prior * F.col("n_e") / F.lit(n)) / (F.col("n_t") + prior)
+    rated = _with_counts(joint, of_entity, "entity", "n_e").join(of_term, "term").select(
         "term",
-        (F.col("n_te") / F.col("n_t")).alias("share"),
-        F.log2(F.col("n_te") * F.lit(float(n)) / (F.col("n_t") * F.col("n_e"))).alias("bits"),
+        F.when(F.col("n_te") >= least_texts, share).otherwise(F.least(share, smooth)).alias("share"),
+        F.log2(F.col("n_te") * F.lit(n) / (F.col("n_t") * F.col("n_e"))).alias("bits"),
+        F.log2(F.lit(n) / F.col("n_e")).alias("whole"),
+        (F.col("n_te") >= least_texts).alias("enough"),
     )
-    chosen = rated.filter((F.col("share") >= general_share) & (F.col("bits") >= least_bits))
-    best = chosen.groupBy("term").agg(F.max("share").alias("share"), F.max_by("bits", "share").alias("bits"))
-    out = best.withColumn("action", F.when(F.col("share") >= remove_share, F.lit("remove")).otherwise(F.lit("generalise")))
-    return scratch.write(out)[0]
+    chosen = rated.filter((F.col("share") >= general_share) & (F.col("bits") >= F.least(F.lit(least_bits), general_share * F.col("whole"))))
+    removed = F.col("enough") & (F.col("share") >= remove_share)
+    best = chosen.groupBy("term").agg(F.max(F.struct(removed.alias("removed"), "share", "bits")).alias("b"))
+    action = F.when(F.col("b.removed"), F.lit("remove")).otherwise(F.lit("generalise"))
+    return scratch.write(best.select("term", "b.share", "b.bits", action.alias("action")))[0]
 
 
 def with_terms(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -156,8 +191,9 @@ def with_terms(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_c
 
 
 def _any_of(terms: Column) -> Column:
-    """A pattern of whole words, case ignored, for a few terms (letters, digits, _ ' - only)."""
-    return F.concat(F.lit(r"(?iu)(?<![\p{L}\p{N}_'-])(?:"), F.array_join(terms, "|"), F.lit(r")(?![\p{L}\p{N}_'-])"))
+    """A pattern of whole words, case ignored, for a few terms (letters, digits, _ ' - only); placeholders are no words."""
+    own = r"(?!(?<=\[)(?-i:" + "|".join(k.upper() for k in KINDS) + r")\])"
+    return F.concat(F.lit(rf"(?iu)(?<![\p{{L}}\p{{N}}_'-]){own}(?:"), F.array_join(terms, "|"), F.lit(r")(?![\p{L}\p{N}_'-])"))
 
 
 def findings(docs: DataFrame, terms: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -117,6 +117,28 @@ def test_disclosing_terms(spark):
     assert spans[200] == "term:5:11"
 
 
+def test_disclosing_terms_of_rare_and_frequent_entities(spark):
+    """With the registered parameters: values of one or two texts, groups and kinds, values of most texts, short names."""
+    rng = random.Random(2)
+    common = [f"common{k}" for k in range(30)]
+    fill = lambda: " ".join(rng.choice(common) for _ in range(12))
+    rows = [f"{fill()} n{k}" for k in range(300)]
+    rows += [f"{fill()} Single one@a.example {fill()}", *[f"{fill()} Double two@b.example {fill()} d{k}" for k in range(2)]]
+    rows += [f"{fill()} Domainal d{k}@firm.example {fill()}" for k in range(4)] + [f"{fill()} +1 (212) 555-{1000 + k} Prefixal {fill()}" for k in range(4)]
+    rows += [f"{fill()} Kindly 10.{k}.2.3 or {k}@k{k}.example {fill()}" for k in range(5)] + [f"{fill()} Li l@x.example {fill()} l{k}" for k in range(4)]
+    rows += [f"{fill()} email e{k}@e{k}.example {fill()}" for k in range(6)]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    terms = pii.disclosing_terms(df)
+    found = {r.term: r.action for r in terms.collect()}
+    want = {"single": "generalise", "double": "generalise", "domainal": "remove", "prefixal": "remove", "kindly": "remove", "li": "remove", "email": "remove"}
+    assert want.items() <= found.items() and not set(common) & set(found)
+    clean = [r.text for r in pii.sanitised(df, terms).collect()]
+    assert sum("[EMAIL]" in t for t in clean) == 1 + 2 + 4 + 5 + 4 + 6 and not any(w in t for t in clean for w in ("Single", "Double", "Li ", "[]", "[["))
+    often = [f"{fill()} Often o@x.example {fill()} o{k}" for k in range(60)] + [f"{fill()} p{k}" for k in range(60)]
+    terms = pii.disclosing_terms(spark.createDataFrame(list(enumerate(often)), "doc_id long, text string"))
+    assert [(r.term, r.action) for r in terms.collect()] == [("often", "remove")]
+
+
 def test_repeats(spark):
     rng = random.Random(3)
     a = "".join(rng.choice("abcdefgh \n") for _ in range(3000))
