@@ -4,8 +4,10 @@
    source's size is cut there and the excess shared again by weight, until none is above.
 2. *Blocks.* Each source's documents fall into blocks by hash, about ``block_docs`` each. A
    target of a full passes and a rest takes every block a times and, of one more pass, the
-   blocks in a drawn order up to the rest; the block that the rest ends in is cut between
-   two documents, and at most three more documents fill the gap that leaves. So a source's quota of blocks is exact, whatever the layout of the data.
+   documents in hash order up to the rest. A document larger than what is then left is put
+   aside, and the later ones that are no larger are cut again, until none is left that fits.
+   So what a source misses of its target is less than any document it did not take once more,
+   whatever the layout of the data.
 3. *Splitting tree.* The quotas of all sources are divided among the output shards by halving:
    a node with n shards below hands its left child the block quotas of a draw without
    replacement (multivariate hypergeometric) of that child's exact share. Every draw's seed
@@ -109,27 +111,61 @@ def _cut(docs: DataFrame, rest: DataFrame, scratch: Scratch) -> DataFrame:
     return state.select("source", F.col("low").alias("limit"), F.col("rest").alias("left"))
 
 
-def _fillers(places: DataFrame, limits: DataFrame, scratch: Scratch, rounds: int = 3) -> DataFrame:
-    """Single documents that fill what a cut between two documents leaves: the largest that fits, thrice.
+def _fillers(places: DataFrame, limits: DataFrame, scratch: Scratch, chunk: int = 512) -> DataFrame:
+    """The documents after a cut that are taken too: in order of place, each that fits in what is left.
 
-    One line for each source and round: source, place.
+    One line for each: source, place. A round scans about ``chunk`` documents of each source
+    in order; where as many again still fit, a cut passes their bulk first. The size that is
+    left falls, or the documents behind end, so there is a last round.
     """
-    chosen = None
-    state = limits.select(F.col("source").alias("s"), "limit", "left")
-    for _ in range(rounds):
-        fits = places.join(state, F.col("source").eqNullSafe(F.col("s"))).filter((F.col("place") >= F.col("limit")) & (F.col("size") <= F.col("left")))
-        if chosen is not None:
-            used = chosen.select(F.col("source").alias("us"), F.col("place").alias("up"))
-            fits = fits.join(used, F.col("source").eqNullSafe(F.col("us")) & (F.col("place") == F.col("up")), "left_anti")
-        best, _ = scratch.write(fits.groupBy("s").agg(F.max(F.struct("size", "place")).alias("b")).select(F.col("s").alias("source"), "b.place", "b.size"))
-        state, _ = scratch.write(
-            state.join(best.select(F.col("source").alias("bs"), "size"), F.col("s").eqNullSafe(F.col("bs")), "left").select(
-                "s", "limit", (F.col("left") - F.coalesce("size", F.lit(0))).alias("left")
+    end = 1 << (DIGIT * LEVELS)
+    kind = dict(places.dtypes)["source"]
+
+    def scan(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("place")
+        left, kept = pdf["left"].iloc[0], []
+        for size in pdf["size"]:
+            kept.append(size <= left)
+            left -= size if kept[-1] else 0
+        return pdf.loc[kept, ["source", "place", "size"]]
+
+    def fitting(state: DataFrame) -> DataFrame:
+        s = state.withColumnRenamed("source", "s")
+        return rest.join(s, F.col("source").eqNullSafe(F.col("s"))).filter((F.col("place") >= F.col("limit")) & (F.col("size") <= F.col("left"))).drop("s")
+
+    def moved(state: DataFrame, by: DataFrame) -> DataFrame:
+        """``by``: s, to (null: as before), size taken."""
+        return scratch.write(
+            state.join(by, F.col("source").eqNullSafe(F.col("s")), "left").select(
+                "source", F.coalesce("to", "limit").alias("limit"), (F.col("left") - F.coalesce("size", F.lit(0))).alias("left")
             )
-        )
-        best = best.select("source", "place")
-        chosen = best if chosen is None else chosen.union(best)
-    return chosen
+        )[0]
+
+    rest, state, chosen, bulk = places, limits.select("source", "limit", "left"), None, False
+    while True:
+        rest, _ = scratch.write(fitting(state).select("source", "place", "size"))
+        counts, _ = scratch.write(rest.groupBy(F.col("source").alias("s")).agg(F.count("*").alias("n")))
+        most = counts.agg(F.max("n")).first()[0]
+        if chosen is not None and not most:
+            return chosen
+        if bulk and most > 2 * chunk:
+            cut, _ = scratch.write(_cut(rest, state.select("source", F.col("left").alias("rest")), scratch).select(F.col("source").alias("s"), F.col("limit").alias("to")))
+            taken = rest.join(cut, F.col("source").eqNullSafe(F.col("s"))).filter("place < to").select("source", "place", "size")
+            to = cut.select(F.col("s").alias("t"), "to")
+        else:
+            span = F.when(F.col("n") <= 2 * chunk, F.lit(end) - F.col("limit")).otherwise(F.ceil((F.lit(end) - F.col("limit")) * (F.lit(float(chunk)) / F.col("n"))))
+            ahead, _ = scratch.write(
+                state.join(counts, F.col("source").eqNullSafe(F.col("s"))).select(F.col("source").alias("t"), (F.col("limit") + span.cast("long")).alias("to"), "left")
+            )
+            near = rest.join(ahead, F.col("source").eqNullSafe(F.col("t"))).filter("place < to").select("source", "place", "size", "left")
+            taken = near.groupBy("source").applyInPandas(scan, f"source {kind}, place long, size long")
+            to = ahead.select("t", "to")
+        taken, _ = scratch.write(taken)
+        sums = taken.groupBy(F.col("source").alias("g")).agg(F.sum("size").alias("size"))
+        state = moved(state, to.join(sums, F.col("t").eqNullSafe(F.col("g")), "left").select(F.col("t").alias("s"), "to", "size"))
+        taken = taken.select("source", "place")
+        chosen = taken if chosen is None else chosen.union(taken)
+        bulk = not bulk
 
 
 def _tree(quotas: DataFrame, shards: int, seed: int) -> DataFrame:

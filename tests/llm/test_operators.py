@@ -246,6 +246,20 @@ def test_mixing(spark):
     assert mix(df.limit(0))[0].collect() == []
 
 
+def test_mixing_with_very_long_documents(spark):
+    """Wherever the long documents lie in hash order, no document that is left out still fits."""
+    long = "x " * 60_000
+    rows = [(k, "x " * 250, f"s{k % 4}") for k in range(8000)] + [(9000 + k, long, f"s{k % 4}") for k in range(16)]
+    rows += [(10_000 + k, "x " * (k % 7 + 1), "s2") for k in range(50)] + [(11_000 + k, "x", None) for k in range(5)]
+    for weights in ((5, 2, 1), (1, 2, 5, 9)):
+        out = mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), weights=weights)[0].collect()
+        for s in {r.source for r in out}:
+            own = [r for r in out if r.source == s]
+            left = own[0].target - sum(r.taken for r in own)
+            least = min(r.repeats for r in own)
+            assert -1e-6 <= left < min((r.size for r in own if r.repeats == least), default=1), s
+
+
 def test_packing(spark, texts):
     rows = [*texts, (400, "<|endoftext|> ΑΣ. İ e\u0301 ́x 中文。 ½ it's 'LL")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3).withColumns({"id": F.lit(1), "length": F.lit(2), "offset": F.lit(3)})
