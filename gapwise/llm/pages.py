@@ -3,8 +3,8 @@
 A page's tags are read into a tree first. Tags that HTML lets authors leave out are implied: a
 block ends an open paragraph, an item ends the item before it, a cell or row ends the one
 before it, and so on. Subtrees that no reader sees are left out: scripts, styles, the head,
-templates, ``hidden``, ``display:none`` and ``visibility:hidden``, and what a closed
-``<details>`` folds away. What remains is written with its layout: paragraphs and headings
+templates, ``hidden`` and ``display:none``, ``visibility:hidden`` but for what is made visible
+within, and what a closed ``<details>`` folds away. What remains is written with its layout: paragraphs and headings
 stand apart by an empty line, other blocks begin a line, items are marked and indented,
 preformatted text keeps its blanks, and the cells of a table are padded to columns.
 
@@ -26,18 +26,24 @@ from pyspark.sql import functions as F
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*+"|'[^']*+'|[^>"'])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*+)>|<[!?/][^>]*+>""", re.S)
 ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
+VISIBILITY = re.compile(r"(?:^|;)visibility:([a-z]+)")
 BLANK = re.compile(r"[ \t\n\r\f]+")
 
 #: Fixed names of HTML.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp iframe noembed noframes".split())
-UNSEEN = set("script style head title template noscript datalist iframe noembed noframes object audio video canvas svg math select".split())
+UNSEEN = set(
+    "script style head title template noscript datalist iframe noembed noframes object audio video canvas "
+    "desc metadata defs symbol clippath mask marker pattern annotation annotation-xml".split()
+)
+#: What may stand in the head; anything else ends it.
+IN_HEAD = set("base link meta noscript script style template title head html".split())
 BLOCKS = set(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 "
-    "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td tfoot th thead tr ul caption".split()
+    "header hgroup hr html legend li main menu nav ol optgroup option p pre section summary table tbody td text tfoot th thead tr ul caption".split()
 )
 APART = set("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure".split())
-ENDS_PARAGRAPH = BLOCKS - {"html", "body", "option", "optgroup", "tbody", "thead", "tfoot", "tr", "td", "th", "caption"}
+ENDS_PARAGRAPH = BLOCKS - {"html", "body", "option", "optgroup", "tbody", "thead", "tfoot", "tr", "td", "th", "caption", "text"}
 #: A tag ends what is open of the first names, but does not look beyond the second.
 IMPLIED_END = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}),
@@ -72,13 +78,30 @@ class Node:
         return out
 
     def seen(self) -> bool:
+        """Whether it is rendered at all, be it visible or not."""
         if self.name in UNSEEN:
             return False
         if not self.attributes:
             return True
         own = self.read()
-        style = own.get("style", "").lower().replace(" ", "")
-        return not ("hidden" in own or "display:none" in style or "visibility:hidden" in style)
+        return not ("hidden" in own or "display:none" in "".join(own.get("style", "").lower().split()))
+
+    def visible(self, inherited: bool) -> bool:
+        if not self.attributes or "visibility" not in self.attributes.lower():
+            return inherited
+        own = VISIBILITY.findall("".join(self.read().get("style", "").lower().split()))
+        return {"visible": True, "hidden": False}.get(own[-1], inherited) if own else inherited
+
+    def shows_within(self) -> bool:
+        """Whether anything below is visible although this is not."""
+        below = [self]
+        while below:
+            for child in below.pop().children:
+                if isinstance(child, Node) and child.seen():
+                    if child.visible(False):
+                        return True
+                    below.append(child)
+        return False
 
 
 class Tree:
@@ -91,6 +114,8 @@ class Tree:
 
     def text(self, text: str) -> None:
         if text:
+            if self.open[-1].name == "head" and text.strip():
+                self._pop_to(len(self.open) - 1)
             self.open[-1].children.append(text)
 
     def _pop_to(self, depth: int) -> None:
@@ -114,6 +139,8 @@ class Tree:
                 return
 
     def start(self, name: str, attributes: str) -> None:
+        if self.open[-1].name == "head" and name not in IN_HEAD:
+            self._pop_to(len(self.open) - 1)
         if name in IMPLIED_END:
             self._end(*IMPLIED_END[name])
         if name in ENDS_PARAGRAPH and self.names["p"]:
@@ -244,22 +271,25 @@ def render(root: Node) -> str:
     tables: list[list[list[list[str]]]] = []
     lists: list[list[int]] = []
     kept = 0
-    # (node, place of the next child, what leaving it must undo)
-    walk: list[list] = [[root, 0, None]]
+    # (node, place of the next child, what leaving it must undo, whether its text is visible)
+    walk: list[list] = [[root, 0, None, True]]
     while walk:
         top = walk[-1]
-        node, k, undo = top
+        node, k, undo, visible = top
         page = pages[-1]
         if k < len(node.children):
             top[1] += 1
             child = node.children[k]
             if isinstance(child, str):
-                if node.name not in ("table", "tbody", "thead", "tfoot", "tr", "colgroup") or child.strip():
+                if visible and (node.name not in ("table", "tbody", "thead", "tfoot", "tr", "colgroup") or child.strip()):
                     (page.kept if kept else page.text)(child)
                 continue
             name = child.name
             if not child.seen():
                 continue
+            shown = child.visible(visible)
+            if not shown and (name in VOID or (visible and not child.shows_within())):
+                continue
             if name == "br":
                 page._begin()
                 page.end_line()
@@ -270,8 +300,7 @@ def render(root: Node) -> str:
             if name == "img":
                 continue
             if name == "details" and "open" not in child.read():
-                shown = [c for c in child.children if isinstance(c, Node) and c.name == "summary"][:1]
-                child.children = shown
+                child.children = [c for c in child.children if isinstance(c, Node) and c.name == "summary"][:1]
             action = None
             if name == "table":
                 page.block(2)
@@ -306,7 +335,7 @@ def render(root: Node) -> str:
                     action = "pre"
                 else:
                     action = "block"
-            walk.append([child, 0, action])
+            walk.append([child, 0, action, shown])
             continue
         walk.pop()
         if undo is None:

@@ -320,6 +320,15 @@ PAGES = {
     "a<br>b<br><br>c": "a\nb\n\nc",
     "<head><title>t</title></head><body>x": "x",
     '<a "<a': '<a "<a',
+    "<head><title>t</title><p>hello": "hello",
+    "<html><head><meta charset=x><div>a</div><h1>b</h1>": "a\n\nb",
+    "<head><style>s</style>bare <b>text</b>": "bare text",
+    "<head><template><p>no</p></template><noscript><img><p>no</noscript><link><table><tr><td>x": "x",
+    "<head>\n<title>t</title>\n<body>x": "x",
+    "<p>a <svg><title>no</title><defs><text>no</text></defs><text>in</text></svg>": "a\nin",
+    "<select><option>one<option selected>two</select>": "one\ntwo",
+    "a<span style='visibility: hidden'>no<b style='visibility:visible'>yes</b>no</span>b": "ayesb",
+    "a<div style='visibility:hidden'>no<b>no</b></div>b": "ab",
     "x <b>y</b> z\n<i> w</i>": "x y z w",
 }
 
