@@ -48,7 +48,7 @@ _FOLD = LOWER.translate(bytes.maketrans(ENDS, STOP * len(ENDS)))
 
 MOST_HOT = 1 << 18
 HOT_SHARE, HOT_WORDS = 1024, 1_000_000  # a word is hot above a 1024th of all words, or above a million
-CHUNK_WORDS = 1_500_000  # words that a task gathers before it sends their pointers
+CHUNK_WORDS = 1_000_000  # words that a task gathers before it sends their pointers
 ID_BITS = 21  # numbers of a chunk's words, see _counted_rows
 SALTS = 8  # parts of a frequent key in joins
 RANK_PARTS = 32  # parts of a language that are ranked on their own first
@@ -56,7 +56,7 @@ _POINTERS = "bucket int, lang string, words binary, hot int, pointers binary, co
 
 
 def collocations(
-    docs: DataFrame, least: int = 100, longest: int = 5, covered: int = 100, most: int = 2000, bucket_words: int = 2_000_000
+    docs: DataFrame, least: int = 100, longest: int = 5, covered: int = 100, most: int = 2000, bucket_words: int = 1_000_000
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``most`` best phrases of every language.
 
@@ -158,7 +158,7 @@ class _Chunk:
             self.codes[lang].default_factory = self.codes[lang].__len__
             self.codes[lang][STOP]
             self.streams[lang] = []
-        self.streams[lang].append(np.fromiter(map(self.codes[lang].__getitem__, words), np.int64, len(words)))
+        self.streams[lang].append(np.fromiter(map(self.codes[lang].__getitem__, words), np.int32, len(words)))
 
     def last(self, lang: str, n: int) -> list[bytes]:
         """The last n words and stops of a language."""
@@ -190,15 +190,15 @@ class _Chunk:
 
 def _suffixes(stream: np.ndarray, upto: int, longest: int) -> tuple[np.ndarray, np.ndarray]:
     """The distinct suffixes of two words or more that start before ``upto``, and their counts."""
-    padded = np.concatenate([stream, np.zeros(longest, np.int64)])
-    start = np.flatnonzero((padded[:upto] > 0) & (padded[1 : upto + 1] > 0))
-    rows = np.empty((len(start), longest), np.int64)
+    padded = np.concatenate([stream, np.zeros(longest, np.int32)])
+    start = np.flatnonzero((padded[:upto] > 0) & (padded[1 : upto + 1] > 0)).astype(np.int32)
+    rows = np.empty((len(start), longest), np.int32)
     alive = np.ones(len(start), bool)
     for k in range(longest):
         word = padded[start + k]
         alive &= word > 0
         rows[:, k] = np.where(alive, word, 0)
-    return _counted_rows(rows, np.ones(len(rows), np.int64))
+    return _counted_rows(rows, np.ones(len(rows), np.int32))
 
 
 def _routed(rows, counts, is_hot, hashes, start, buckets: int):
@@ -252,8 +252,11 @@ def _counted_rows(rows: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.
             key = (key << ID_BITS) | rows[:, k]
         keys.append(key)
     order = np.lexsort(keys[::-1])
-    new = np.ones(len(rows), bool)
-    new[1:] = np.any([np.diff(key[order]) != 0 for key in keys], axis=0)
+    new = np.zeros(len(rows), bool)
+    new[:1] = True
+    for key in keys:
+        key = key[order]
+        new[1:] |= key[1:] != key[:-1]
     first = np.flatnonzero(new)
     return rows[order[first]], np.add.reduceat(counts[order], first) if len(first) else counts
 
@@ -276,21 +279,16 @@ def frequent_phrases(sent: DataFrame, buckets: int, least: int, longest: int) ->
                 real[0] *= np.sign(matrix[0])
                 rows.append(real)
             rows = np.concatenate(rows, axis=1)
-            counts = np.concatenate([np.frombuffer(c, np.int32) for c in own["counts"]]).astype(np.int64)
+            counts = np.concatenate([np.frombuffer(c, np.int32) for c in own["counts"]])
             names = [b"", *code]
             is_hot = np.zeros(len(names), bool)
             is_hot[hot[hot > 0]] = True
-            part = rows[0] > 0
-            for depth, place, f in quicksorted(rows[:, part], counts[part], least, is_hot, summed=False):
-                found.append((lang, rows[:depth, part][:, place], names, depth, f))
-            exact = rows[:, ~part].copy()
-            exact[0] *= -1
-            for depth, place, f in quicksorted(exact, counts[~part], least, is_hot, summed=True):
-                found.append((lang, exact[:depth, place], names, depth, f))
-        return pd.DataFrame(
-            [(lang, b" ".join(names[k] for k in row).decode(), depth, f) for lang, row, names, depth, f in found],
-            columns=["lang", "phrase", "size", "f"],
-        )
+            whole = rows[0] > 0
+            for part, summed in ((whole, False), (~whole, True)):
+                own_rows, own_counts = np.abs(rows[:, part]), counts[part]
+                for depth, place, f in quicksorted(own_rows, own_counts, least, is_hot, summed):
+                    found.append((lang, b" ".join([names[k] for k in own_rows[:depth, place]]).decode(), depth, f))
+        return pd.DataFrame(found, columns=["lang", "phrase", "size", "f"])
 
     return sent.repartition(buckets, "bucket").groupBy("bucket").applyInPandas(sort, "lang string, phrase string, size int, f bigint")
 
@@ -301,10 +299,10 @@ def quicksorted(columns: np.ndarray, counts: np.ndarray, least: int, is_hot: np.
     Phrases of hot words only are counted where they came ``summed``: as rows that end with the phrase.
     Everything else is counted in the rows of whole suffixes.
     """
-    todo = [(np.arange(columns.shape[1]), 0, True)]
+    todo = [(np.arange(columns.shape[1], dtype=np.int32), 0, True)]
     while todo:
         part, depth, only_hot = todo.pop()
-        if counts[part].sum() < least:  # abandoned, with all that starts like this
+        if counts[part].sum(dtype=np.int64) < least:  # abandoned, with all that starts like this
             continue
         word = columns[depth][part]
         pivot = np.sort(word[:: max(1, len(word) // 9)])
@@ -320,7 +318,7 @@ def quicksorted(columns: np.ndarray, counts: np.ndarray, least: int, is_hot: np.
         size = depth + 1
         if size > 1 and hot == summed:
             counted = same if not summed else same[columns[size][same] == 0] if size < len(columns) else same
-            if (f := int(counts[counted].sum())) >= least:
+            if (f := int(counts[counted].sum(dtype=np.int64))) >= least:
                 yield size, int(same[0]), f
         if size < len(columns):
             todo.append((same, size, hot))
