@@ -1,11 +1,12 @@
 """Missing-aware boosted trees with the softmax objective.
 
-Each tree level is one Spark job: rows are routed, differentiated and summed into a
-histogram (``splits``), and one line per node comes back. Rows are binned once and kept as
-a compact table in the shared checkpoint folder. Each round moves their margins by one
-tree, in a cached copy of the table that the round's first level fills on its way; every
-few rounds the table is written anew, so no lineage grows with the number of rounds and a
-lost executor costs its own partitions, recomputed from the last written table.
+Rows are binned once, into the positions and bins of the entries they have, and kept as a
+compact table in the shared checkpoint folder, cached once. Each tree level is one Spark job: rows
+are routed, differentiated and summed into a histogram (``splits``), and one line per node comes back.
+Below the root only the lighter child of each node is summed; its sibling is what remains of the
+parent. A row's margins are those of the table moved by the trees grown since; every few rounds the
+table is written anew, so no lineage grows with the number of rounds and a lost executor costs
+its own partitions, recomputed from the last written table.
 """
 
 from __future__ import annotations
@@ -32,11 +33,12 @@ from pyspark.storagelevel import StorageLevel
 from gapwise.functions.missing import NAN
 from gapwise.operators.boost import features as ft
 from gapwise.operators.boost import splits as sp
-from gapwise.operators.boost.trees import Tree, descent, in_play, margin_columns, weight_at
+from gapwise.operators.boost.trees import Tree, among, descended, margin_columns, weight_at
 from gapwise.scratch import Scratch
 
-FETCHED_LINES = 100_000  # histogram lines per level that the driver may fetch and search
 ROWS_PER_PARTITION = 4_000_000  # binned rows are a few bytes per feature
+LEVELS_WALKED = 24
+TABLE = "boost_rows"  # the training table, in the session of the level jobs
 LINES_PER_REDUCER = 1_000_000  # histogram lines that one task merges
 
 # Option names of the settings map, and the parameter each one sets.
@@ -122,12 +124,12 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         regLambda=1.0,
         gamma=0.0,
         minChildWeight=1.0,
-        maxBins=32,
+        maxBins=256,
         numWorkers=0,
         missing=NAN,
         absent="missing",
         allowNonZeroForMissing=False,
-        rewriteInterval=10,
+        rewriteInterval=4,
         cutPoints=None,
         seed=0,
     ):
@@ -142,12 +144,12 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
             regLambda=1.0,
             gamma=0.0,
             minChildWeight=1.0,
-            maxBins=32,
+            maxBins=256,
             numWorkers=0,
             missing=NAN,
             absent="missing",
             allowNonZeroForMissing=False,
-            rewriteInterval=10,
+            rewriteInterval=4,
             seed=0,
         )
         self._set(**kwargs)
@@ -185,25 +187,21 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         spark, get = df.sparkSession, self.getOrDefault
         chosen = self._features()
         size = len(chosen) if isinstance(chosen, list) else ft.vector_size(df, chosen)
-        raw = ft.feature_columns(df, chosen, size, get("absent"))
-        names = [f"b{i}" for i in range(size)]
         label = F.col(self.getLabelCol())
-
-        nan_seen = F.greatest(F.lit(False), *[F.coalesce(F.isnan(c), F.lit(False)) for c in raw])
-        present = ft.apply_missing(raw, get("missing"))
-        train = df.select(
+        stored = df.select(
             label.cast("int").alias("y"),
             (label.isNull() | ~label.isin(list(range(get("numClass"))))).alias("bad"),
-            (nan_seen if get("missing") == 0 else F.lit(False)).alias("nan_seen"),
             (F.lit(size) if isinstance(chosen, list) else ft.vector_entries(df, chosen)).alias("entries"),
-            *[c.alias(n) for c, n in zip(present, names)],
+            *ft.stored_columns(df, chosen),
         )
-        train = train.persist(StorageLevel.MEMORY_AND_DISK)  # three passes, one evaluation of the source
+        stored = stored.persist(StorageLevel.MEMORY_AND_DISK)  # three passes, one evaluation of the source
         try:
-            cuts, rows = self._facts(train, names)
-            trees = self._grow(spark, ft.bin_columns(train.drop("bad", "nan_seen", "entries"), names, cuts), names, cuts, rows, train)
+            cuts, rows, held = self._facts(stored, size)
+            binned = ft.binned_entries(cuts, get("missing"), get("absent"))
+            entries = stored.select("y", binned("kind", "size", "indices", "values").alias("e")).select("y", "e.positions", "e.bins")
+            trees = self._grow(spark, entries, cuts, rows, held, stored)
         finally:
-            train.unpersist()
+            stored.unpersist()
         model = BoostedTreeModel(
             trees=json.dumps([t.as_dict() for t in trees]),
             numFeatures=size,
@@ -214,110 +212,116 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
             model._set(inputCols=chosen)
         return model
 
-    def _facts(self, train: DataFrame, names: list[str]) -> tuple[list[list[float]], int]:
-        """Cut points and number of rows, after checking what must hold before training.
-
-        Labels, rows, NaN beside zero and the spread of every feature come from one pass.
-        """
+    def _facts(self, stored: DataFrame, size: int) -> tuple[list[list[float]], int, int]:
+        """Cut points, rows and stored entries, after checking what must hold before training."""
         get = self.getOrDefault
         given = json.loads(get("cutPoints")) if self.isSet("cutPoints") else None
-        facts = train.agg(
+        nan_seen = F.exists("values", F.isnan) if get("missing") == 0 else F.lit(False)
+        facts = stored.agg(
             F.count(F.lit(1)).alias("rows"),
             F.count_if("bad").alias("bad"),
-            F.max("nan_seen").alias("nan_seen"),
+            F.max(nan_seen).alias("nan_seen"),
             F.min("entries").alias("least_entries"),
             F.max("entries").alias("most_entries"),
-            *([] if given else ft.spread(names, get("maxBins"))),
+            F.sum(F.greatest(F.size("values"), F.lit(0)) if get("absent") == "missing" else F.lit(size)).alias("held"),
         ).first()
         if facts["rows"] == 0:
             raise ValueError("no rows to train on")
-        if facts["least_entries"] is not None and not facts["least_entries"] == facts["most_entries"] == len(names):
-            raise ValueError(f"vectors have {facts['least_entries']} to {facts['most_entries']} entries, expected {len(names)}")
+        if facts["least_entries"] is not None and not facts["least_entries"] == facts["most_entries"] == size:
+            raise ValueError(f"vectors have {facts['least_entries']} to {facts['most_entries']} entries, expected {size}")
         if facts["bad"]:
             raise ValueError(f"{facts['bad']} rows have a label that is null or not one of 0..{get('numClass') - 1}")
         if facts["nan_seen"]:
             raise ValueError("missing is 0 but the features hold NaN as well; replace one of the two first")
         if given:
             cuts = [sorted(float(v) for v in c) for c in given]
-            if len(cuts) != len(names):
-                raise ValueError(f"cutPoints has {len(cuts)} lists for {len(names)} features")
+            if len(cuts) != size:
+                raise ValueError(f"cutPoints has {len(cuts)} lists for {size} features")
         else:
-            cuts = ft.cut_points(train, names, get("maxBins"), facts)
-        return cuts, facts["rows"]
+            # every row weighs the same: before the first tree all second derivatives are equal
+            weighed = stored.withColumn("weight", F.lit(1.0))
+            cuts = ft.found_cuts(weighed, size, get("maxBins"), get("missing"), get("absent"))
+        return cuts, facts["rows"], facts["held"]
 
-    def _grow(
-        self, spark: SparkSession, binned: DataFrame, bins: list[str], cuts: list[list[float]], rows: int, source: DataFrame
-    ) -> list[Tree]:
+    def _grow(self, spark: SparkSession, binned: DataFrame, cuts: list[list[float]], rows: int, held: int, source: DataFrame) -> list[Tree]:
         get = self.getOrDefault
         classes = [1] if get("numClass") == 2 else list(range(get("numClass")))
-        margins = {k: f"m{k}" for k in classes}
         scale = sp.fixed_point_scale(rows)
         parts = max(get("numWorkers"), self._partitions(spark, rows))
+        # rounds whose trees one expression walks: beyond some dozen levels its code is too large to be compiled well
+        interval = max(1, min(get("rewriteInterval"), LEVELS_WALKED // (len(classes) * get("maxDepth"))))
         # The level jobs have a known, small shuffle, so they run in a session of their own
         # that is tuned for it; the caller's settings stay as they are.
         levels = spark.newSession()
         levels.conf.set("spark.sql.adaptive.enabled", "false")
-        # Every task of a level hands on at most this many lines for each node, feature and bin.
-        lines = len(classes) * 2 ** (get("maxDepth") - 1) * sum(len(c) + 2 for c in cuts)
-        levels.conf.set("spark.sql.shuffle.partitions", str(max(1, -(-lines * parts // LINES_PER_REDUCER))))
+        # Every task of a level hands on at most a line for each node, feature and bin, and all tasks one for each entry.
+        lines = len(classes) * min(2 ** (get("maxDepth") - 1) * sum(len(c) + 2 for c in cuts) * parts, held + rows)
+        reducers = max(1, -(-lines // LINES_PER_REDUCER))
+        levels.conf.set("spark.sql.shuffle.partitions", str(reducers))
         scratch = Scratch(levels)
-        table, path = scratch.write(binned.withColumns({m: F.lit(0.0) for m in margins.values()}).repartition(parts))
+        table, path = scratch.write(binned.withColumns({f"m{k}": F.lit(0.0) for k in classes}).repartition(parts))
         source.unpersist()
         table = table.persist(StorageLevel.MEMORY_AND_DISK)
+        table.createOrReplaceTempView(TABLE)
         trees: list[Tree] = []
-        growing: dict[int, Tree] = {}
-        held = [table]  # cached tables; the last one is in use
+        since: list[dict[int, Tree]] = []  # trees by class, of the rounds after the table was written
         try:
             for number in range(get("numRound")):
-                old_path = path
-                if number:
-                    moved = _add_weights(held[-1], bins, growing, get("maxDepth"))
-                    if number % get("rewriteInterval") == 0:
-                        moved, path = scratch.write(moved)
-                    held.append(moved.persist(StorageLevel.MEMORY_AND_DISK))
+                if len(since) == interval:
+                    moved, new_path = scratch.write(levels.sql(_moved(TABLE, since, get("maxDepth"))))
+                    table.unpersist()
+                    scratch.drop(path)
+                    table, path, since = moved.persist(StorageLevel.MEMORY_AND_DISK), new_path, []
+                    table.createOrReplaceTempView(TABLE)
                 growing = {k: Tree(number, k) for k in classes}
-                for depth in range(get("maxDepth")):
-                    found = self._grow_level(held[-1], bins, cuts, growing, depth, scale)
-                    if len(held) > 1:  # the round's first level has filled the new cache
-                        held.pop(0).unpersist()
-                        if old_path != path:
-                            scratch.drop(old_path)
-                    if not found:
-                        break
+                # as many trees in every round, some empty: then the code of a level is the same each time
+                walked = since + [{k: Tree.empty(number, k) for k in classes}] * (interval - 1 - len(since))
+                self._grow_round(levels, TABLE, walked, cuts, growing, scale, reducers, scratch)
+                since.append(growing)
                 trees += growing.values()
         finally:
-            for cached in held:
-                cached.unpersist()
+            table.unpersist()
             scratch.drop(path)
+            levels.catalog.dropTempView(TABLE)
+            levels.catalog.dropTempView("boost_above")
         return trees
 
-    def _grow_level(
-        self,
-        table: DataFrame,
-        bins: list[str],
-        cuts: list[list[float]],
-        growing: dict[int, Tree],
-        depth: int,
-        scale: float,
-    ) -> bool:
-        """Split the nodes of one level in all of the round's trees; False if none was split."""
+    def _grow_round(
+        self, levels: SparkSession, table: str, since: list[dict[int, Tree]], cuts: list[list[float]], growing: dict[int, Tree], scale: float, reducers: int, scratch: Scratch
+    ) -> None:
+        """Grow one tree for each class, level by level; the histogram of a level is a table."""
         get = self.getOrDefault
-        histogram = sp.gradient_histogram(_derivatives(table, bins, growing, depth, scale))
-        rules = (scale, get("regLambda"), get("gamma"), get("minChildWeight"))
-        lines = len(growing) * 2**depth * sum(len(c) + 2 for c in cuts)
-        if lines <= FETCHED_LINES:  # bounded by the model's settings, whatever the number of rows
-            best = sp.search_splits(histogram.toArrow(), *rules)
-        else:
-            best = [r.asDict() for r in sp.best_splits(sp.split_candidates(histogram, *rules)).collect()]
-        found = False
+        rules = (scale, get("regLambda"), get("gamma"), get("minChildWeight"), reducers)
+        count = {k: {1} for k in growing}  # nodes whose rows are summed
+        heavy, totals, written = {}, None, []
+        for depth in range(get("maxDepth")):
+            sums = sp.histogram_text(f"({_derivatives(_moved(table, since, get('maxDepth')), growing, depth, scale, count)})")
+            if depth:
+                sums = sp.siblings_text(f"({sums})", "boost_above", _by_node(heavy, growing, depth - 1), reducers)
+            sums = f"({sums})"
+            if depth + 1 < get("maxDepth") or not depth:  # read again, for the siblings below
+                above, path = scratch.write(levels.sql(sums))
+                above.createOrReplaceTempView("boost_above")
+                sums = "boost_above"
+                written.append(path)
+            best = levels.sql(sp.best_text(f"({sp.candidates_text(sums, *rules, totals)})")).collect()
+            if depth == 0:
+                for row in best:
+                    growing[row["class"]].weights[1] = self._weight(row["all_g"] / scale, row["all_h"] / scale)
+            best = [row for row in best if row["gain"] is not None]
+            if not best:
+                break
+            count, heavy, totals = self._split(best, cuts, growing, scale)
+        for path in written:
+            scratch.drop(path)
+
+    def _split(self, best: list, cuts: list[list[float]], growing: dict[int, Tree], scale: float) -> tuple[dict, dict, dict]:
+        """Record the splits; return the lighter children by class, the heavier one of each split node, and all children's sums."""
+        light: dict[int, set[int]] = {k: set() for k in growing}
+        heavy, totals = {}, {}
         for row in best:
-            tree, node = growing[row["class"]], row["node"]
-            if node == 1:
-                tree.weights[1] = self._weight(row["total_g"], row["total_h"])
-            if row["gain"] is None:
-                continue
-            found = True
-            feature_cuts = cuts[row["feature"]]
+            k, node = row["class"], row["node"]
+            tree, feature_cuts = growing[k], cuts[row["feature"]]
             tree.splits[node] = {
                 "feature": row["feature"],
                 "bin": row["bin"],
@@ -326,9 +330,15 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
                 "gain": row["gain"],
             }
             del tree.weights[node]
-            tree.weights[2 * node] = self._weight(row["left_g"], row["left_h"])
-            tree.weights[2 * node + 1] = self._weight(row["right_g"], row["right_h"])
-        return found
+            left = (row["sum_g"], row["sum_h"], row["left_n"])
+            right = (row["all_g"] - row["sum_g"], row["all_h"] - row["sum_h"], row["n"] - row["left_n"])
+            for child, sums in ((2 * node, left), (2 * node + 1, right)):
+                tree.weights[child] = self._weight(sums[0] / scale, sums[1] / scale)
+                totals[k, child] = sums
+            lighter = 2 * node + int(right[2] < left[2])
+            light[k].add(lighter)
+            heavy[k, node] = lighter ^ 1
+        return light, heavy, totals
 
     @staticmethod
     def _partitions(spark: SparkSession, rows: int) -> int:
@@ -339,40 +349,37 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         return -self.getOrDefault("eta") * g / (h + self.getOrDefault("regLambda"))
 
 
-def _add_weights(table: DataFrame, bins: list[str], trees: dict[int, Tree], depth: int) -> DataFrame:
-    """The training table with each class's margin moved by its newest tree."""
-    walks = [item for k, t in trees.items() for item in descent(t, depth, f"_{k}")]
-    moved = table.selectExpr("*", f"array({', '.join(bins)}) AS bins", *walks)
-    return moved.selectExpr("y", *bins, *[f"m{k} + {weight_at(t, depth, f'_{k}')} AS m{k}" for k, t in trees.items()])
+def _moved(table: str, since: list[dict[int, Tree]], depth: int) -> str:
+    """SQL text for the training table with its margins moved by the trees grown since it was written."""
+    if not since:
+        return f"SELECT * FROM {table}"
+    trees = {f"_{k}_{j}": t for j, grown in enumerate(since) for k, t in grown.items()}
+    margins = [f"{' + '.join([f'm{k}', *[weight_at(grown[k], depth, f'_{k}_{j}') for j, grown in enumerate(since)]])} AS m{k}" for k in since[0]]
+    walked = descended(table, ["y", "positions", "bins", *[f"m{k}" for k in since[0]]], trees, depth)
+    return f"SELECT y, positions, bins, {', '.join(margins)} FROM ({walked})"
 
 
-def _derivatives(
-    table: DataFrame, bins: list[str], growing: dict[int, Tree], depth: int, scale: float
-) -> DataFrame:
-    """``class, node, g, h, bins`` for each row and modelled class that is still in play."""
-    walks = [item for k, t in growing.items() for item in descent(t, depth, f"_{k}")]
-    walked = table.selectExpr("*", f"array({', '.join(bins)}) AS bins", *walks)
+def _by_node(values: dict[tuple[int, int], int], classes, depth: int) -> str:
+    """SQL text for what ``values`` hold for the line's class and node of one level; else null."""
+    lists = [[values.get((k, n)) for n in range(2**depth, 2 ** (depth + 1))] for k in range(max(classes) + 1)]
+    flat = ", ".join("CAST(NULL AS INT)" if v is None else str(v) for values in lists for v in values)
+    return f"get(array({flat}), class * {2**depth} + node - {2**depth})"
+
+
+def _derivatives(table: str, growing: dict[int, Tree], depth: int, scale: float, count: dict[int, set[int]]) -> str:
+    """SQL text for ``class, node, g, h, positions, bins`` of the rows of each modelled class in the nodes to ``count``."""
+    walked = descended(f"({table})", ["y", "positions", "bins", *[f"m{k}" for k in growing]], {f"_{k}": t for k, t in growing.items()}, depth)
     if len(growing) == 1:
-        ((k, tree),) = growing.items()
-        shares = walked.filter(in_play(tree, depth, f"_{k}")).selectExpr(
-            "y", "bins", f"{k} AS class", f"n{depth}_{k} AS node", f"1 / (1 + exp(-2 * m{k})) AS p"
-        )
+        share = {k: f"1 / (1 + exp(-2 * m{k}))" for k in growing}
     else:
         top = ", ".join(f"m{k}" for k in growing)
-        powers = walked.selectExpr("*", *[f"exp(m{k} - greatest({top})) AS e{k}" for k in growing])
-        total = " + ".join(f"e{k}" for k in growing)
-        lines = ", ".join(
-            f"struct({k} AS class, if({in_play(t, depth, f'_{k}')}, n{depth}_{k}, NULL) AS node, e{k} / ({total}) AS p)"
-            for k, t in growing.items()
-        )
-        shares = powers.selectExpr("y", "bins", f"inline(array({lines}))").filter("node IS NOT NULL")
-    return shares.selectExpr(
-        "class",
-        "node",
-        f"{sp.fixed_point('p - if(y = class, 1D, 0D)', scale)} AS g",
-        f"{sp.fixed_point('2 * p * (1 - p)', scale)} AS h",
-        "bins",
-    )
+        walked = f"SELECT *, {', '.join(f'exp(m{k} - greatest({top})) AS e{k}' for k in growing)} FROM ({walked})"
+        share = {k: f"e{k} / ({' + '.join(f'e{j}' for j in growing)})" for k in growing}
+    # lines of an array, so that the test for the nodes is not evaluated a second time below
+    lines = ", ".join(f"struct({k} AS class, if({among(count[k], depth, f'_{k}')}, n_{k}, NULL) AS node, {share[k]} AS p)" for k in growing)
+    return f"""
+      SELECT class, node, {sp.fixed_point('p - if(y = class, 1D, 0D)', scale)} AS g, {sp.fixed_point('2 * p * (1 - p)', scale)} AS h, positions, bins
+      FROM (SELECT y, positions, bins, inline(array({lines})) FROM ({walked})) WHERE node IS NOT NULL"""
 
 
 class BoostedTreeModel(Model, _BoostParams, DefaultParamsReadable, DefaultParamsWritable):
@@ -432,8 +439,8 @@ class BoostedTreeModel(Model, _BoostParams, DefaultParamsReadable, DefaultParams
     def _transform(self, df: DataFrame) -> DataFrame:
         get = self.getOrDefault
         size, k = get("numFeatures"), get("numClass")
-        columns = ft.apply_missing(ft.feature_columns(df, self._features(), size, get("absent"), checked=True), get("missing"))
         used = sorted({s["feature"] for t in self.tree_list() for s in t.splits.values()})
+        columns = ft.apply_missing(ft.feature_columns(df, self._features(), size, get("absent"), checked=True, only=used), get("missing"))
         temporary = [f"_x{i}" for i in used]
         values = {i: F.col(f"_x{i}") for i in used}
         if k == 2:
@@ -445,7 +452,7 @@ class BoostedTreeModel(Model, _BoostParams, DefaultParamsReadable, DefaultParams
         powers = {f"_e{c}": F.exp(F.col(f"_r{c}") - top) for c in range(k)}
         total = sum((F.col(f"_e{c}") for c in range(k)), F.lit(0.0))
         scored = (
-            df.withColumns({f"_x{i}": columns[i] for i in used} if used else {})
+            df.withColumns(dict(zip(temporary, columns)))
             .withColumns(margins)
             .withColumns({f"_r{c}": raw[c] for c in range(k)})
             .withColumns(powers)

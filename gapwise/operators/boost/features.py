@@ -1,20 +1,27 @@
-"""From raw feature columns to small integer bins."""
+"""From raw feature columns to the entries that a row has: positions and small integer bins."""
 
 from __future__ import annotations
 
 import math
-from collections import Counter
+from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, ShortType, StructField, StructType
 
 from gapwise.functions.missing import present_or_null
+from gapwise.operators.boost.splits import WHOLE
+from gapwise.scratch import Scratch
 
 MISSING_BIN = -1
 MOST_BINS = 32_766
-FINE_STEPS = 16  # quantiles taken for each bin
+POINTS = 64  # points of a summary for each bin
+HELD_ENTRIES = 2_000_000  # entries a task holds before it summarises them
+MERGED = 64  # summaries of a feature that are merged at once
 
 
 def vector_size(df: DataFrame, column: str) -> int:
@@ -41,21 +48,22 @@ def vector_entries(df: DataFrame, column: str) -> Column:
 
 
 def feature_columns(
-    df: DataFrame, features: str | list[str], size: int = 0, absent: str = "missing", checked: bool = False
+    df: DataFrame, features: str | list[str], size: int = 0, absent: str = "missing", checked: bool = False, only: list[int] | None = None
 ) -> list[Column]:
     """One nullable double per feature, straight from number columns or out of a vector.
 
     ``absent`` says what an entry left out of a sparse vector means: ``missing``, or
     ``zero`` as in Spark's own algorithms. NaN is left as it is here. ``checked`` fails the
-    job at a vector of another size.
+    job at a vector of another size. ``only`` names the features that are wanted.
     """
+    wanted = range(size or len(features)) if only is None else only
     if not isinstance(features, str):
-        return [F.col(name).cast("double") for name in features]
+        return [F.col(features[i]).cast("double") for i in wanted]
     if absent not in ("missing", "zero"):
         raise ValueError("absent must be missing or zero")
     parts = _parts(df, features)
     columns = []
-    for i in range(size):
+    for i in wanted:
         stored = F.get(parts["values"], (F.array_position(parts["indices"], i) - 1).cast("int"))
         if absent == "zero":
             stored = F.coalesce(stored, F.lit(0.0))
@@ -73,44 +81,199 @@ def apply_missing(columns: list[Column], missing: float) -> list[Column]:
     return present if math.isnan(missing) else [F.nullif(c, F.lit(float(missing))) for c in present]
 
 
-def spread(names: list[str], max_bins: int) -> list[Column]:
-    """Mergeable aggregates from which ``cut_points`` starts: distinct counts and quantiles."""
-    steps = [i / (FINE_STEPS * max_bins) for i in range(FINE_STEPS * max_bins + 1)]
-    return [F.approx_count_distinct(n, 0.05).alias(f"distinct_{n}") for n in names] + [
-        F.percentile_approx(n, steps, 4 * FINE_STEPS * max_bins).alias(f"quantiles_{n}") for n in names
-    ]
+def stored_columns(df: DataFrame, features: str | list[str]) -> list[Column]:
+    """``kind, size, indices, values`` of each row, as vectors are stored; number columns are a dense one.
 
+    Indices that are not there are an empty array: writing null arrays to Arrow takes 20 times as long.
+    """
+    none = F.array().cast("array<int>")
+    if isinstance(features, str):
+        parts = _parts(df, features)
+        return [parts["type"].alias("kind"), parts["size"].alias("size"), F.coalesce(parts["indices"], none).alias("indices"), parts["values"].alias("values")]
+    values = F.array(*[F.col(c).cast("double") for c in features])
+    return [F.lit(1).cast("tinyint").alias("kind"), F.lit(None).cast("int").alias("size"), none.alias("indices"), values.alias("values")]
+
+
+class Entries:
+    """The present entries of a batch of rows, flat: row by row their positions and values."""
+
+    def __init__(self, kind: pa.Array, size: pa.Array, indices: pa.Array, values: pa.Array, missing: float, absent: str):
+        length = np.asarray(pa.compute.fill_null(pa.compute.list_value_length(values), 0))
+        value = pa.compute.list_flatten(values).to_numpy(zero_copy_only=False).astype(np.float64)
+        place = np.arange(len(value)) - np.repeat(np.cumsum(length) - length, length)
+        sparse = np.asarray(pa.compute.fill_null(kind, 1)) == 0
+        if sparse.any():
+            inside = np.repeat(sparse, length)
+            place[inside] = pa.compute.list_flatten(pa.compute.filter(indices, pa.array(sparse))).to_numpy(zero_copy_only=False)
+            if absent == "zero":  # what is left out is there, as zeros
+                wide = np.where(sparse, np.asarray(pa.compute.fill_null(size, 0)), length)
+                start = np.cumsum(wide) - wide
+                full = np.zeros(int(wide.sum()))
+                full[np.repeat(start, length) + place] = value
+                place, value, length = np.arange(len(full)) - np.repeat(start, wide), full, wide
+        held = ~np.isnan(value) if math.isnan(missing) else ~np.isnan(value) & (value != missing)
+        ends = np.concatenate([[0], np.cumsum(held)])
+        upto = np.cumsum(length)
+        self.lengths = ends[upto] - ends[upto - length]
+        self.positions, self.values = place[held].astype(np.int32), value[held]
+
+
+def cut_points(df: DataFrame, names: list[str], max_bins: int, weight: str | None = None) -> list[list[float]]:
+    """Ascending split candidates for each of some number columns, see ``found_cuts``."""
+    missing = [F.lit(1.0) if weight is None else F.col(weight).cast("double")]
+    stored = df.select(*stored_columns(df, names), *[w.alias("weight") for w in missing])
+    return found_cuts(stored, len(names), max_bins, math.nan, "missing")
+
+
+def found_cuts(stored: DataFrame, size: int, max_bins: int, missing: float, absent: str) -> list[list[float]]:
+    """Cuts by feature of rows ``kind, size, indices, values, weight``; a split sends ``x < cut`` to the left.
+
+    At most features x bins numbers reach the driver, as the settings say, whatever the rows.
+
+    Cuts stand at even steps of weight. Values that alone fill a bin or more get one of their own, and
+    the other bins are spread over the rest, so a spike leaves cuts for what is beside it. A feature
+    with few distinct values gets a cut at each of them, so that rare categories can still be told apart.
+
+    Every task sums up its entries by feature in a quantile summary: values with the weight since the
+    last one, exact while there are few, else at ``POINTS`` x bins even steps. Summaries merge by
+    adding up and thinning out again, ``MERGED`` of one feature at a time, until they are few enough to be cut.
+    Every thinning moves ranks by less than 1 / (POINTS x bins) of the weight.
+    """
+    points = POINTS * max_bins
+    summary = "feature int, part int, exact boolean, value array<double>, weight array<double>"
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        count = 0
+
+        def summed_up() -> Iterator[pa.RecordBatch]:
+            place, value, weight = (np.concatenate([h[i] for h in held]) for i in range(3))
+            order = np.lexsort([value, place])
+            place, value, weight = place[order], value[order], weight[order]
+            edges = np.flatnonzero(np.diff(place, prepend=-1, append=np.iinfo(np.int32).max))
+            lines = [(int(place[a]), *thinned(value[a:b], weight[a:b], points)) for a, b in zip(edges, edges[1:])]
+            for at in range(0, len(lines), 64):
+                part = lines[at : at + 64]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array([f for f, *_ in part], pa.int32()),
+                        pa.array(np.random.default_rng(len(value)).integers(0, 1 << 30, len(part)), pa.int32()),
+                        *[pa.array([line[k] for line in part], t) for k, t in ((1, pa.bool_()), (2, pa.list_(pa.float64())), (3, pa.list_(pa.float64())))],
+                    ],
+                    names=["feature", "part", "exact", "value", "weight"],
+                )
+            held.clear()
+
+        for batch in batches:
+            entries = Entries(*batch.columns[:4], missing, absent)
+            weight = np.repeat(batch.column(4).to_numpy(zero_copy_only=False), entries.lengths)
+            held.append((entries.positions, entries.values, weight))
+            count += len(weight)
+            if count > HELD_ENTRIES:
+                yield from summed_up()
+                count = 0
+        if count:
+            yield from summed_up()
 
-def cut_points(df: DataFrame, names: list[str], max_bins: int, facts: Row | None = None) -> list[list[float]]:
-    """Ascending split candidates per feature; a split sends ``x < cut`` to the left.
+    def merged(lines: pd.DataFrame) -> tuple[bool, np.ndarray, np.ndarray]:
+        value, weight = np.concatenate(lines["value"].to_numpy()), np.concatenate(lines["weight"].to_numpy())
+        order = np.argsort(value, kind="stable")
+        exact, value, weight = thinned(value[order], weight[order], points)
+        return exact and bool(lines["exact"].all()), value, weight
 
-    Features get approximate quantiles. Values that alone fill a bin or more get one of their
-    own, and the other bins are spread over the rest, so a spike leaves cuts for what is
-    beside it. A feature with few distinct values gets a cut at each of them, so that rare
-    categories can still be told apart.
+    def merge(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
+        exact, value, weight = merged(lines)
+        return pd.DataFrame({"feature": [key[0]], "part": [hash(key) % (1 << 30)], "exact": [exact], "value": [value], "weight": [weight]})
+
+    def cut(key: tuple, lines: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"feature": [key[0]], "cuts": [spaced(*merged(lines), max_bins)]})
+
+    read = stored.select("kind", "size", "indices", "values", F.col("weight").cast("double").alias("weight"))
+    scratch = Scratch(read.sparkSession)
+    lines, path = scratch.write(read.mapInArrow(summarise, summary))
+    while (most := lines.groupBy("feature").count().agg(F.max("count")).first()[0] or 0) > MERGED:
+        parts = lines.withColumn("part", F.pmod("part", F.lit(-(-most // MERGED))))
+        lines, done = scratch.write(parts.groupBy("feature", "part").applyInPandas(merge, summary))
+        scratch.drop(path)
+        path = done
+    found = {r["feature"]: list(r["cuts"]) for r in lines.groupBy("feature").applyInPandas(cut, "feature int, cuts array<double>").collect()}
+    scratch.drop(path)
+    return [found.get(i, []) for i in range(size)]
+
+
+def thinned(value: np.ndarray, weight: np.ndarray, points: int) -> tuple[bool, np.ndarray, np.ndarray]:
+    """(exact, values, weights since the value before): sorted values summed up, at most about 2 x points of them."""
+    first = np.flatnonzero(np.diff(value, prepend=np.nan) != 0)
+    value, weight = value[first], np.add.reduceat(weight, first)
+    if len(value) <= points:
+        return True, value, weight
+    upto = np.cumsum(weight)
+    steps = np.searchsorted(upto, np.arange(1, points + 1) * (upto[-1] / points))
+    heavy = np.flatnonzero(weight * points >= upto[-1])  # keep what comes before a heavy value apart from it
+    chosen = np.unique(np.concatenate([[0], steps, heavy, heavy - 1, [len(value) - 1]]).clip(0, len(value) - 1))
+    return False, value[chosen], np.diff(upto[chosen], prepend=0.0)
+
+
+def spaced(exact: bool, value: np.ndarray, weight: np.ndarray, max_bins: int) -> list[float]:
+    """At most ``max_bins - 1`` cuts from a summary."""
+    if len(value) <= max_bins:
+        return value[1:].tolist()
+    heavy = np.flatnonzero(weight * max_bins >= weight.sum())
+    own = np.unique(np.concatenate([heavy, heavy + 1]))
+    own = own[(own > 0) & (own < len(value))][: max_bins - 1]
+    rest = np.setdiff1d(np.arange(1, len(value)), np.union1d(own, heavy))
+    room = max_bins - 1 - len(own)
+    if room and len(rest):
+        upto = np.cumsum(weight[rest])
+        # even steps through the weight of the rest, so the first cut leaves a share below it too
+        steps = np.searchsorted(upto, (np.arange(room) + 1) * (upto[-1] / (room + 1)))
+        own = np.union1d(own, rest[steps.clip(0, len(rest) - 1)])
+    return value[own].tolist()
+
+
+def binned_entries(cuts: list[list[float]], missing: float, absent: str):
+    """A column function of ``kind, size, indices, values``: the entries of each row, in the smaller of two forms.
+
+    A row with at least half of all features has one bin for each of them, -1 where it is missing, and no
+    positions. A row with fewer has the positions and bins of those that are present. The first entry
+    stands for the whole row, so that a node's totals come with its histogram.
     """
-    facts = facts or df.agg(*spread(names, max_bins)).first()
-    values = {n: facts[f"quantiles_{n}"] or [] for n in names}
-    few = [n for n in names if 0 < facts[f"distinct_{n}"] <= max_bins]
-    if few:
-        values.update(df.agg(*[F.collect_set(n).alias(n) for n in few]).first().asDict())
-    return [sorted(set(values[n]))[1:] if n in few else _spaced(values[n], max_bins) for n in names]
-
-
-def _spaced(fine: list[float], max_bins: int) -> list[float]:
-    """At most ``max_bins - 1`` cuts from ascending fine quantiles with repeats."""
-    counts = Counter(fine)
-    values = sorted(counts)
-    if len(values) <= max_bins:
-        return values[1:]
-    heavy = [v for v in values if counts[v] * max_bins >= len(fine)]
-    following = {values[i + 1] for i in range(len(values) - 1) if counts[values[i]] * max_bins >= len(fine)}
-    own = sorted((set(heavy) | following) - {values[0]})[: max_bins - 1]
-    rest = [v for v in fine if v not in set(own) and v != values[0]]
-    room = min(max_bins - 1 - len(own), len(rest))
-    # cuts at even steps through the rest, so the first one leaves a share below it too
-    picked = {rest[(2 * i + 1) * len(rest) // (2 * room)] for i in range(room)}
-    return sorted(set(own) | picked)
+    arrays = [np.array(c, np.float64) for c in cuts]
+    size_of = len(cuts)
+
+    @F.arrow_udf(StructType([StructField("positions", ArrayType(IntegerType())), StructField("bins", ArrayType(ShortType()))]))
+    def binned(kind: pa.Array, size: pa.Array, indices: pa.Array, values: pa.Array) -> pa.Array:
+        entries = Entries(kind, size, indices, values, missing, absent)
+        order = np.argsort(entries.positions, kind="stable")
+        place, value = entries.positions[order], entries.values[order]
+        edges = np.flatnonzero(np.diff(place, prepend=-1, append=np.iinfo(np.int32).max))
+        sorted_bins = np.empty(len(place), np.int16)
+        for a, b in zip(edges, edges[1:]):
+            sorted_bins[a:b] = np.searchsorted(arrays[place[a]], value[a:b], side="right")
+        bins = np.empty(len(place), np.int16)
+        bins[order] = sorted_bins
+        full = 2 * entries.lengths >= size_of
+        inside = np.repeat(full, entries.lengths)
+        within = np.arange(len(bins)) - np.repeat(np.cumsum(entries.lengths) - entries.lengths, entries.lengths)
+        target = np.where(inside, entries.positions, within) + 1  # after the entry of the whole row
+
+        def lists(length: np.ndarray, chosen: np.ndarray, content: np.ndarray, empty: int, whole: int, gone: np.ndarray | None) -> pa.Array:
+            starts = np.cumsum(length) - length
+            flat = np.full(int(length.sum()), empty, content.dtype)
+            flat[starts[length > 0]] = whole
+            flat[np.repeat(starts, entries.lengths)[chosen] + target[chosen]] = content[chosen]
+            offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int32)
+            return pa.ListArray.from_arrays(offsets, flat, mask=None if gone is None else pa.array(gone))
+
+        return pa.StructArray.from_arrays(
+            [
+                lists(np.where(full, 0, entries.lengths + 1), ~inside, entries.positions, 0, WHOLE, full),
+                lists(np.where(full, size_of, entries.lengths) + 1, np.ones(len(bins), bool), bins, MISSING_BIN, 0, None),
+            ],
+            names=["positions", "bins"],
+        )
+
+    return binned
 
 
 def bin_columns(df: DataFrame, names: list[str], cuts: list[list[float]]) -> DataFrame:
@@ -129,3 +292,9 @@ def bin_columns(df: DataFrame, names: list[str], cuts: list[list[float]]) -> Dat
         for n, c in zip(names, cuts)
     }
     return df.withColumns(bins).drop(*[f"_bin_{n}" for n, _ in inner])
+
+
+def entry_arrays(df: DataFrame, names: list[str]) -> DataFrame:
+    """Columns of bins, -1 for missing, as the entries of ``binned_entries``: all features, no positions."""
+    bins = F.array(F.lit(0).cast("smallint"), *[F.col(n).cast("smallint") for n in names])
+    return df.withColumns({"positions": F.lit(None).cast("array<int>"), "bins": bins})

@@ -21,6 +21,11 @@ class Tree:
     splits: dict[int, dict] = field(default_factory=dict)
     weights: dict[int, float] = field(default_factory=dict)
 
+    @staticmethod
+    def empty(round: int, label_class: int) -> "Tree":
+        """A tree that moves no margin."""
+        return Tree(round, label_class, {}, {1: 0.0})
+
     def as_dict(self) -> dict:
         return {
             "round": self.round,
@@ -43,30 +48,41 @@ def _list(values: list) -> str:
     return f"array({', '.join(str(v).lower() if isinstance(v, bool) else str(v) for v in values)})"
 
 
-def descent(tree: Tree, depth: int, tag: str) -> list[str]:
-    """SQL select items ``n0<tag>`` to ``n<depth><tag>``: the node of a row at each level.
+def descended(source: str, keep: list[str], trees: dict[str, Tree], depth: int) -> str:
+    """SQL text for ``source`` with its columns ``keep`` and, for each tag of ``trees``, the node ``n<tag>`` at ``depth``.
 
-    They refer to the row's ``bins``. A path that has ended goes on to the left. The tree
-    enters as constant arrays, which Spark hands to its generated code as data: the code is
-    the same for every tree, so it is compiled once and stays hot from round to round.
+    It reads the row's ``positions`` and ``bins``. A path that has ended goes on to the left. A level's
+    splits enter as one constant array, feature, lowest and highest bin of the left side packed into
+    one number each, which Spark hands to its generated code as data: the code is the same for
+    every tree, so it is compiled once, and small enough to be compiled well.
     """
-    items = [f"1 AS n0{tag}"]
+    columns = ", ".join(keep)
+    # the root's number comes from a column, or its split would be written into the code as a constant
+    text = f"SELECT {columns}{''.join(f', 1 + 0 * y AS n{tag}' for tag in trees)} FROM {source}"
     for level in range(depth):
-        splits = [tree.splits.get(n) for n in range(2**level, 2 ** (level + 1))]
-        feature = _list([s["feature"] if s else 0 for s in splits])
-        low = _list([0 if s and not s["default_left"] else -1 for s in splits])
-        high = _list([s["bin"] if s else 32767 for s in splits])
-        node = f"n{level}{tag}"
-        place = f"{node} - {2**level}"
-        left = f"get(bins, get({feature}, {place})) BETWEEN get({low}, {place}) AND get({high}, {place})"
-        items.append(f"2 * {node} + if({left}, 0, 1) AS n{level + 1}{tag}")
-    return items
+        moved = []
+        for tag, tree in trees.items():
+            codes = [_packed(tree.splits.get(n)) for n in range(2**level, 2 ** (level + 1))]
+            code = f"get({_list([f'{c}L' for c in codes])}, n{tag} - {2**level})"
+            feature = f"CAST(shiftright({code}, 32) AS INT)"
+            entry = f"get(bins, if(positions IS NULL, {feature} + 1, CAST(array_position(positions, {feature}) AS INT) - 1))"  # null where absent
+            place = f"coalesce({entry}, -1S) + 1"
+            moved.append(f"2 * n{tag} + if({place} >= (shiftright({code}, 16) & 65535) AND {place} <= ({code} & 65535), 0, 1) AS n{tag}")
+        text = f"SELECT {columns}, {', '.join(moved)} FROM ({text})"
+    return text
+
+
+def _packed(split: dict | None) -> int:
+    """Feature, and the lowest and highest bin plus 1 that go left; all of them where there is no split."""
+    if split is None:
+        return 65535
+    return (split["feature"] << 32) | ((0 if split["default_left"] else 1) << 16) | (split["bin"] + 1)
 
 
-def in_play(tree: Tree, depth: int, tag: str) -> str:
-    """SQL test for rows whose node at ``depth`` exists and may still be split."""
-    exists = [depth == 0 or n in tree.weights for n in range(2**depth, 2 ** (depth + 1))]
-    return f"get({_list(exists)}, n{depth}{tag} - {2**depth})"
+def among(nodes: set[int], depth: int, tag: str) -> str:
+    """SQL test for rows whose node at ``depth`` is one of ``nodes``."""
+    wanted = [n in nodes for n in range(2**depth, 2 ** (depth + 1))]
+    return f"get({_list(wanted)}, n{tag} - {2**depth})"
 
 
 def weight_at(tree: Tree, depth: int, tag: str) -> str:
@@ -76,7 +92,7 @@ def weight_at(tree: Tree, depth: int, tag: str) -> str:
         while n not in tree.weights:
             n //= 2
         weights.append(f"{tree.weights[n]!r}D")
-    return f"get({_list(weights)}, n{depth}{tag} - {2**depth})"
+    return f"get({_list(weights)}, n{tag} - {2**depth})"
 
 
 def margin_columns(trees: list[Tree], values: dict[int, Column]) -> dict[int, Column]:

@@ -35,6 +35,7 @@ from gapwise.operators.boost import (
     BoostedTreeModel,
     best_splits,
     bin_columns,
+    entry_arrays,
     gradient_histogram,
     plain_boosted_trees,
     split_candidates,
@@ -556,6 +557,7 @@ def _train(spark, sf_dir) -> DataFrame:
 def _first_round(spark, sf_dir) -> DataFrame:
     names = ["price", "cust", "b"]
     rows = bin_columns(_train(spark, sf_dir).withColumn("price", present_or_null(F.col("price"))), names, BOOST_CUTS)
+    rows = entry_arrays(rows, names)
     scale = 2.0**30
     histogram = gradient_histogram(
         rows.selectExpr(
@@ -563,15 +565,16 @@ def _first_round(spark, sf_dir) -> DataFrame:
             "1 AS node",
             f"CAST((0.5D - label) * {scale!r}D AS BIGINT) AS g",
             f"CAST(0.5D * {scale!r}D AS BIGINT) AS h",
-            "array(price, cust, b) AS bins",
+            "positions",
+            "bins",
         )
     )
-    return split_candidates(histogram, scale, 1.0, 0.0, 1.0)
+    return split_candidates(histogram, scale, 1.0, 0.0, 1.0).filter("feature >= 0")
 
 
 @query("split_gain_table", f"WITH {_TRAIN_SQL}, {first_round_sql(BOOST_CUTS)} SELECT feature, bin, default_left, round(gain, 6) + 0.0 AS gain FROM candidates_1_0 WHERE bin >= 0")
 def split_gain_table(spark, sf_dir):
-    return _first_round(spark, sf_dir).filter("bin >= 0").select("feature", "bin", "default_left", r6(F.col("gain")).alias("gain"))
+    return _first_round(spark, sf_dir).select("feature", "bin", "default_left", r6(F.col("gain")).alias("gain"))
 
 
 @query("best_split", f"WITH {_TRAIN_SQL}, {first_round_sql(BOOST_CUTS)} SELECT feature, bin, default_left, round(gain, 6) + 0.0 AS gain FROM best_1_0")

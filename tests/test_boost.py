@@ -1,6 +1,8 @@
 import json
 import math
 
+import numpy as np
+
 import pytest
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -14,10 +16,10 @@ from gapwise.operators.boost import (
     best_splits,
     bin_columns,
     gradient_histogram,
-    search_splits,
     split_candidates,
 )
 from gapwise.operators.boost import classifier as cl
+from gapwise.operators.boost import features as ft
 from gapwise.operators.boost.features import cut_points
 from gapwise.operators.evaluate import area_under_roc, class_score
 
@@ -66,15 +68,115 @@ def test_best_split_matches_brute_force(spark, seed):
         F.lit(1).alias("node"),
         *[(F.pmod(F.xxhash64("id", F.lit(f"{n}{seed}")), F.lit(17)) - 8).cast("bigint").alias(n) for n in ("g",)],
         (F.pmod(F.xxhash64("id", F.lit(f"h{seed}")), F.lit(5)) + 1).alias("h"),
-        F.array(*[(F.pmod(F.xxhash64("id", F.lit(f"{i}{seed}")), F.lit(6)) - 1).cast("int") for i in range(3)]).alias("bins"),
+        F.lit(None).cast("array<int>").alias("positions"),
+        F.array(F.lit(0), *[(F.pmod(F.xxhash64("id", F.lit(f"{i}{seed}")), F.lit(6)) - 1).cast("int") for i in range(3)]).alias("bins"),
     )
-    histogram = gradient_histogram(rows)
-    found = best_splits(split_candidates(histogram, 1.0, 1.0, 0.0, 1.0)).first()
-    (fetched,) = search_splits(histogram.toArrow(), 1.0, 1.0, 0.0, 1.0)
-    assert fetched == found.asDict()
-    want = brute_best([r.asDict() for r in rows.collect()], 5)
+    found = best_splits(split_candidates(gradient_histogram(rows), 1.0, 1.0, 0.0, 1.0)).first()
+    stored = [{"g": r["g"], "h": r["h"], "bins": r["bins"][1:]} for r in rows.collect()]
+    want = brute_best(stored, 5)
     got = (round(found["gain"], 9), -found["feature"], -found["bin"], found["default_left"])
     assert got == pytest.approx(want)
+    assert (found["all_g"], found["all_h"], found["n"]) == (sum(r["g"] for r in stored), sum(r["h"] for r in stored), 80)
+
+
+@pytest.mark.parametrize("features, bins", [(5, 10), (2000, 250)])
+def test_one_split_search_for_few_and_many_lines(spark, features, bins):
+    """50 and 500,000 lines of a histogram: the same statement, in one reducer or several, finds the best of all splits."""
+    lines = spark.range(features * bins, numPartitions=4).select(
+        F.lit(1).alias("class"),
+        F.lit(1).alias("node"),
+        F.floor(F.col("id") / bins).cast("int").alias("feature"),
+        F.pmod("id", F.lit(bins)).cast("smallint").alias("bin"),
+        (F.pmod(F.xxhash64("id"), F.lit(201)) - 100).alias("g"),
+        (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(50)) + 1).alias("h"),
+        F.lit(2).cast("long").alias("n"),
+    )
+    whole = spark.sql(f"SELECT 1 AS class, 1 AS node, -1 AS feature, 0S AS bin, 77L AS g, {60 * bins}L AS h, {3 * bins}L AS n")
+    histogram = lines.unionAll(whole).cache()
+    found = best_splits(split_candidates(histogram, 4.0, 1.0, 0.0, 1.0)).first()
+    assert best_splits(split_candidates(histogram, 4.0, 1.0, 0.0, 1.0, reducers=1)).first() == found
+    table = lines.orderBy("feature", "bin").toPandas()
+    g, h = (table[c].to_numpy().reshape(features, bins).cumsum(axis=1) / 4 for c in ("g", "h"))
+    best = -1.0
+    total_g, total_h = 77 / 4, 60 * bins / 4
+    for left_g, left_h in ((g, h), (g + total_g - g[:, -1:], h + total_h - h[:, -1:])):
+        right_g, right_h = total_g - left_g, total_h - left_h
+        gain = 0.5 * (left_g**2 / (left_h + 1) + right_g**2 / (right_h + 1) - total_g**2 / (total_h + 1))
+        best = max(best, gain[(left_h >= 1) & (right_h >= 1)].max())
+    assert found["gain"] == pytest.approx(best, rel=1e-12)
+    histogram.unpersist()
+
+
+def wide_rows(spark, rows, width, seed=3):
+    """Rows with 8 of ``width`` entries each; entry 0 is often present and tells the label."""
+    rng = np.random.default_rng(seed)
+    data = []
+    for _ in range(rows):
+        label = int(rng.random() < 0.5)
+        places = sorted({0, *rng.choice(np.arange(1, 90), 7, replace=False).tolist()}) if rng.random() < 0.8 else sorted(rng.choice(np.arange(1, 90), 8, replace=False).tolist())
+        values = [float(label) + rng.normal() * 0.3 if p == 0 else float(rng.integers(0, 5)) for p in places]
+        data.append((float(label), Vectors.sparse(width, places, values)))
+    return spark.createDataFrame(data, ["label", "features"])
+
+
+def test_width_of_sparse_rows_costs_nothing(spark):
+    """400 rows with 8 entries: the same trees among 10,000 features as among 100, and as from numbers with gaps."""
+    kw = dict(numRound=2, maxDepth=3, maxBins=32, allowNonZeroForMissing=True)
+    narrow = BoostedTreeClassifier(**kw).fit(wide_rows(spark, 400, 100))
+    wide = BoostedTreeClassifier(**kw).fit(wide_rows(spark, 400, 10_000))
+    assert wide.getOrDefault("trees") == narrow.getOrDefault("trees")
+    assert {t.splits[1]["feature"] for t in wide.tree_list()} == {0}
+    get = F.udf(lambda v: [dict(zip(v.indices.tolist(), v.values.tolist())).get(i) for i in range(100)], "array<double>")
+    gaps = wide_rows(spark, 400, 100).withColumn("v", get("features")).select("label", *[F.col("v")[i].alias(f"c{i}") for i in range(100)])
+    columns = BoostedTreeClassifier(inputCols=[f"c{i}" for i in range(100)], **kw).fit(gaps)
+    assert columns.getOrDefault("trees") == narrow.getOrDefault("trees")
+    scored = wide.transform(wide_rows(spark, 400, 10_000))
+    assert scored.filter("prediction = label").count() > 340
+
+
+def test_only_lighter_children_are_summed(points, monkeypatch):
+    """Below the root the rows that a level explodes are half of the table at most."""
+    seen = []
+    real = cl._derivatives
+
+    def spy(table, growing, depth, scale, count):
+        text = real(table, growing, depth, scale, count)
+        seen.append((depth, count, {k: dict(t.splits) for k, t in growing.items()}, text))
+        return text
+
+    monkeypatch.setattr(cl, "_derivatives", spy)
+    read = []
+    kind = type(points.sparkSession)
+    sql = kind.sql
+
+    def counted(self, text, **frames):
+        for depth, _, _, inner in seen[len(read) :]:
+            read.append((depth, sql(self, f"SELECT count(*) AS n FROM ({inner})").first()["n"]))
+        return sql(self, text, **frames)
+
+    monkeypatch.setattr(kind, "sql", counted)
+    BoostedTreeClassifier(inputCols=["a", "b"], numRound=2, maxDepth=3, cutPoints=CUTS).fit(points)
+    assert [d for d, _ in read] == [0, 1, 2] * 2
+    assert all(n == 3000 if d == 0 else 0 < n <= 1500 for d, n in read)
+
+
+def test_weighted_cuts_stand_at_even_weight(spark, monkeypatch):
+    """Rank error within 1 / (8 x bins) of the weight, with a skewed weight and many merges."""
+    monkeypatch.setattr(ft, "HELD_ENTRIES", 4_000)
+    monkeypatch.setattr(ft, "MERGED", 4)
+    df = spark.range(200_000, numPartitions=16).select(
+        F.pow(F.rand(5), F.lit(3.0)).alias("x"), F.when(F.rand(6) < 0.01, 500.0).otherwise(F.rand(7)).alias("w")
+    ).cache()
+    bins = 64
+    (cuts,) = cut_points(df, ["x"], bins, weight="w")
+    data = df.toPandas().sort_values("x")
+    upto, total = np.concatenate([[0.0], np.cumsum(data["w"])]), data["w"].sum()
+    heaviest = data["w"].max() / total
+    shares = np.diff(np.concatenate([[0.0], upto[np.searchsorted(data["x"], cuts)] / total, [1.0]]))
+    ranks = upto[np.searchsorted(data["x"], cuts)] / total
+    assert len(cuts) == bins - 1
+    assert np.abs(ranks - (np.arange(bins - 1) + 1) / bins).max() <= 1 / (8 * bins) + heaviest and shares.min() > 0
+    df.unpersist()
 
 
 def test_bins_count_cuts_at_or_below_and_missing_is_apart(spark):
@@ -103,13 +205,6 @@ def test_same_trees_from_any_layout_and_input_form(spark, points):
     assert auc(dense, vectors) == auc(one, points)
 
 
-def test_fetched_and_distributed_split_search_agree(points, monkeypatch):
-    kw = dict(inputCols=["a", "b"], numRound=2, maxDepth=3, cutPoints=CUTS)
-    near = BoostedTreeClassifier(**kw).fit(points).getOrDefault("trees")
-    monkeypatch.setattr(cl, "FETCHED_LINES", 0)
-    assert BoostedTreeClassifier(**kw).fit(points).getOrDefault("trees") == near
-
-
 def test_rewriting_the_table_changes_nothing(points):
     kw = dict(inputCols=["a", "b"], numRound=4, maxDepth=2, cutPoints=CUTS)
     assert (
@@ -292,6 +387,6 @@ def test_callers_session_is_left_alone_and_tables_are_dropped(spark, points):
 
 def test_level_job_moves_sums_only(spark, points):
     """Between the table and the split search only partial sums are shuffled."""
-    rows = points.selectExpr("1 AS class", "1 AS node", "1L AS g", "1L AS h", "array(1, 2) AS bins")
+    rows = points.selectExpr("1 AS class", "1 AS node", "1L AS g", "1L AS h", "CAST(NULL AS array<int>) AS positions", "array(0, 1, 2) AS bins")
     plan = gradient_histogram(rows)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "partial_sum" in plan and "Python" not in plan
