@@ -37,7 +37,7 @@ from gapwise.operators.boost.trees import Tree, among, descended, margin_columns
 from gapwise.scratch import Scratch
 
 ROWS_PER_PARTITION = 4_000_000  # binned rows are a few bytes per feature
-LEVELS_WALKED = 24
+LEVELS_WALKED = 6
 TABLE = "boost_rows"  # the training table, in the session of the level jobs
 LINES_PER_REDUCER = 1_000_000  # histogram lines that one task merges
 
@@ -129,7 +129,7 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         missing=NAN,
         absent="missing",
         allowNonZeroForMissing=False,
-        rewriteInterval=4,
+        rewriteInterval=2,
         cutPoints=None,
         seed=0,
     ):
@@ -149,7 +149,7 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
             missing=NAN,
             absent="missing",
             allowNonZeroForMissing=False,
-            rewriteInterval=4,
+            rewriteInterval=2,
             seed=0,
         )
         self._set(**kwargs)
@@ -248,7 +248,8 @@ class BoostedTreeClassifier(Estimator, _BoostParams, DefaultParamsReadable, Defa
         classes = [1] if get("numClass") == 2 else list(range(get("numClass")))
         scale = sp.fixed_point_scale(rows)
         parts = max(get("numWorkers"), self._partitions(spark, rows))
-        # rounds whose trees one expression walks: beyond some dozen levels its code is too large to be compiled well
+        # rounds whose trees one expression walks: with more levels the code of a task outgrows what the JVM compiles
+        # (measured: 450 ms instead of 40 for 118,000 rows with three trees of depth 3 instead of one)
         interval = max(1, min(get("rewriteInterval"), LEVELS_WALKED // (len(classes) * get("maxDepth"))))
         # The level jobs have a known, small shuffle, so they run in a session of their own
         # that is tuned for it; the caller's settings stay as they are.
