@@ -7,7 +7,8 @@ sentences by noisy-or, 1 - prod(1 - p). Weights are learned from document labels
 the fitted model names the sentences that carry a score.
 
 Fitting uses a bounded sample of labelled rows: about ``sample_rows`` of each label, drawn
-by hash, none longer than ``sample_chars``. Candidate features are those whose
+by hash among the ids, one text of each id, whole whatever its length. An id with both labels counts as 0,
+one with several texts is learned from the least of them. Candidate features are those whose
 document frequency differs between the labels by ``least_z`` standard errors, at most
 ``vocabulary`` of them. Scoring covers every whole text.
 
@@ -142,7 +143,6 @@ def fit(
     text_col: str = "text",
     label_col: str = "toxic",
     sample_rows: int = 4000,
-    sample_chars: int = 20_000,
     vocabulary: int = 4000,
     least_z: float = 4.0,
     least_weight: float = 1.5,
@@ -153,14 +153,14 @@ def fit(
     The sample is drawn among the labels, before any text is read: about ``sample_rows`` ids of
     each label. So few ids may be broadcast, whatever the size of the corpus.
     """
-    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label"))
+    known = labels.filter(F.col(label_col).isin(0, 1) & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id")).agg(F.min(label_col).cast("int").alias("label"))
     totals = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not totals.get(1) or not totals.get(0):
         return ToxicityModel()
     part = F.when(F.col("label") == 1, F.lit(sample_rows / totals[1])).otherwise(F.lit(sample_rows / totals[0]))
     drawn = known.filter(F.pmod(F.xxhash64(F.lit("sample"), F.col("id").cast("string")), F.lit(1_000_000)) < part * 1_000_000)
-    texts = docs.filter(F.col(text_col).isNotNull() & (F.length(text_col) <= sample_chars)).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sample = texts.join(F.broadcast(drawn), "id").select("text", "label").cache()
+    texts = docs.filter(F.col(text_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    sample = texts.join(F.broadcast(drawn), "id").groupBy("id").agg(F.min("text").alias("text"), F.min("label").alias("label")).select("text", "label").cache()
     sizes = {r["label"]: r["n"] for r in sample.groupBy("label").agg(F.count("*").alias("n")).collect()}
     n1, n0 = sizes.get(1, 0), sizes.get(0, 0)
     if not n1 or not n0:
