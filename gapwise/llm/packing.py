@@ -33,8 +33,9 @@ from pyspark.sql import functions as F
 
 from gapwise.scratch import Scratch
 
-CACHED_WORDS = 400_000
-TEXTS_AT_ONCE = 128
+CACHED_WORDS = 800_000
+TEXTS_AT_ONCE = 1024
+LETTERS_AT_ONCE = 1 << 20  # of the texts that are looked up together, besides one longer text
 MARKS = ".,!?;:"
 WEIGHT = 1.0
 FITTED_SHARE = 0.9
@@ -44,7 +45,8 @@ class WordTokens:
     """Token ids of texts, word by word: the tokenizer drops white space, so blanks may separate.
 
     Only for tokenizers whose ids of a text are those of its space-separated words in turn, as
-    ``word_bpe_49k.json``. Words are remembered up to a bound.
+    ``word_bpe_49k.json``. Words are remembered up to a bound; of those, the ones met since half
+    of it was learned outlast it, so a common word is not encoded again and again.
     """
 
     def __init__(self, path: str):
@@ -57,8 +59,11 @@ class WordTokens:
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._marks = {mark: self._alone([mark])[0] for mark in MARKS}
-        self._ids: dict[str, bytes] = {"": b""}
+        # what was learned last, and what was before: half of the bound each
+        self._ids: dict[str, bytes] = {}
         self._stems: dict[str, bytes] = {}
+        self._older_ids: dict[str, bytes] = {}
+        self._older_stems: dict[str, bytes] = {}
 
     def _alone(self, words: list[str]) -> list[bytes]:
         return [np.array(found.ids, "<u4").tobytes() for found in self._tokenizer.encode_batch_fast(words, add_special_tokens=False)]
@@ -75,31 +80,56 @@ class WordTokens:
             else:
                 self._stems.update(zip(part, self._alone(part)))
 
-    def _learn(self, words: list[str]) -> None:
-        simple, odd = [], []
+    @staticmethod
+    def _recalled(wanted: set[str], known: dict[str, bytes], older: dict[str, bytes]) -> set[str]:
+        """Those of ``wanted`` that are in neither; the others are known afterwards."""
+        wanted = wanted.difference(known)
+        again = older.keys() & wanted  # goes through the smaller one
+        known.update(zip(again, map(older.__getitem__, again)))
+        return wanted.difference(again)
+
+    def _learn(self, words: set[str]) -> None:
+        marks, plain, marked, odd = self._marks, [], [], []
         for word in words:
-            stem, mark = (word[:-1], word[-1]) if word[-1] in self._marks else (word, "")
-            low = stem.lower()
-            if low.isalpha() and stem.isalpha():
-                # other letters than ASCII may be lowered differently by the tokenizer: left as they are
-                simple.append((word, low if stem.isascii() else stem, mark))
+            if not word:
+                self._ids[word] = b""
+                continue
+            # other letters than ASCII may be lowered differently by the tokenizer: left as they are
+            if word.isalpha():
+                (plain if word.isascii() or word.lower().isalpha() else odd).append(word)
+            elif word[-1] in marks and (stem := word[:-1]).isalpha() and stem.lower().isalpha():
+                marked.append(word)
             else:
                 odd.append(word)
-        self._learn_stems(list({stem for _, stem, _ in simple}.difference(self._stems)))
-        for word, stem, mark in simple:
-            self._ids[word] = self._stems[stem] + self._marks[mark] if mark else self._stems[stem]
+        plain_stems = [word.lower() if word.isascii() else word for word in plain]
+        marked_stems = [word[:-1].lower() if word.isascii() else word[:-1] for word in marked]
+        self._learn_stems(list(self._recalled({*plain_stems, *marked_stems}, self._stems, self._older_stems)))
+        found = self._stems.__getitem__
+        self._ids.update(zip(plain, map(found, plain_stems)))
+        self._ids.update((word, found(stem) + marks[word[-1]]) for word, stem in zip(marked, marked_stems))
         for at in range(0, len(odd), 1024):
             self._ids.update(zip(odd[at : at + 1024], self._alone(odd[at : at + 1024])))
 
     def of(self, texts: list[str]) -> list[bytes]:
         """Each text's ids as little-endian unsigned 32-bit numbers."""
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self._ids) > CACHED_WORDS:
-            self._ids = {"": b""}
-        if len(self._stems) > CACHED_WORDS:
-            self._stems = {}
-        self._learn(list(set().union(*split).difference(self._ids)))
-        return [b"".join(map(self._ids.__getitem__, words)) for words in split]
+        if len(self._ids) > CACHED_WORDS // 2:
+            self._older_ids, self._ids = self._ids, {}
+        if len(self._stems) > CACHED_WORDS // 2:
+            self._older_stems, self._stems = self._stems, {}
+        # the tokenizer lowers its input; letters of ASCII alone may as well be lowered before they are split
+        spaced = pa.array([(t.lower() if t.isascii() else t).replace("\n", " ") for t in texts], pa.large_string())
+        split = pa.compute.split_pattern(spaced, " ")
+        coded = split.values.dictionary_encode()
+        words, code = coded.dictionary.to_numpy(zero_copy_only=False).tolist(), coded.indices.to_numpy()
+        self._learn(self._recalled(set(words), self._ids, self._older_ids))
+        known = list(map(self._ids.__getitem__, words))
+        length = np.fromiter(map(len, known), np.int64, len(known)) // 4
+        start = np.cumsum(length) - length
+        upto = np.concatenate([[0], np.cumsum(length[code])])
+        place = np.repeat(start[code] - upto[:-1], length[code]) + np.arange(upto[-1])
+        ids = np.frombuffer(b"".join(known), "<u4")[place].tobytes()
+        ends = (4 * upto[split.offsets.to_numpy()]).tolist()
+        return [ids[i:j] for i, j in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -108,6 +138,18 @@ def word_tokens(path: str) -> WordTokens:
     return WordTokens(path)
 
 
+def _groups(texts: list[str]) -> Iterator[tuple[int, int]]:
+    """Runs of texts to be looked up together: bounded in number and, unless one is longer, in letters."""
+    begin, held = 0, 0
+    for k, text in enumerate(texts):
+        if k > begin and (held + len(text) > LETTERS_AT_ONCE or k - begin == TEXTS_AT_ONCE):
+            yield begin, k
+            begin, held = k, 0
+        held += len(text)
+    if texts:
+        yield begin, len(texts)
+
+
 def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, size: int, end_id: int) -> DataFrame:
     """(id, piece, start, length, ids_crc32) of every document; ``start`` counts the tokens before."""
     end = np.array([end_id], "<u4").tobytes()
@@ -115,10 +157,10 @@ def pieces(docs: DataFrame, tokenizer_path: str, id_col: str, text_col: str, siz
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = word_tokens(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, TEXTS_AT_ONCE):
-                part = batch.slice(at, TEXTS_AT_ONCE)
+            names, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
+            for begin, until in _groups(texts):
                 rows = []
-                for i, ids in zip(part.column(0).to_pylist(), tokens.of([t or "" for t in part.column(1).to_pylist()])):
+                for i, ids in zip(names[begin:until], tokens.of(texts[begin:until])):
                     ids += end
                     for k, byte in enumerate(range(0, len(ids), 4 * size)):
                         cut = ids[byte : byte + 4 * size]
