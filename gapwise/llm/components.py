@@ -37,7 +37,7 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         .select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         .distinct()
     )
-    edges, path = scratch.write(edges)
+    edges, path = scratch.write_narrow(edges)
     while True:
         parents = edges.select(F.col("v").alias("u")).distinct()
         pending = edges.join(parents, "u", "left_semi").select("u").union(
@@ -45,6 +45,6 @@ def components(edges: DataFrame, scratch: Scratch) -> DataFrame:
         )
         if pending.isEmpty():
             return edges.select(F.col("u").alias("id"), F.col("v").alias("component"))
-        edges, new = scratch.write(_small(_large(edges)))
+        edges, new = scratch.write_narrow(_small(_large(edges)))
         scratch.drop(path)
         path = new

@@ -9,7 +9,8 @@ meets in at least one bucket. Pairs further apart may meet too and are then chec
 
 How buckets are worked off without emitting all their pairs:
 
-1. Documents of equal sets become one class, represented by its smallest id.
+1. Documents of equal sets become one class, represented by its smallest id. A bucket whose two
+   classes differ too much in the size of their sets for a link is left out before any set is read.
 2. Every member of a bucket is checked against the bucket's smallest id, exactly, on sets.
 3. Components are formed. A bucket within one component has nothing left to find.
 4. Buckets that hold several components are joined with themselves. The join itself asks for
@@ -28,7 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 from functools import reduce
 from itertools import combinations
-from math import comb
+from math import comb, log
 from operator import add
 
 import numpy as np
@@ -110,22 +111,35 @@ def _signed(df: DataFrame, shingle: int, length: int) -> DataFrame:
     return df.mapInArrow(run, "id long, n_shingles long, set_a long, set_b long, signature binary")
 
 
-def _keyed(classes: DataFrame, chunks: int, chunk_len: int, errors: int) -> DataFrame:
+#: Steps of set sizes that a number's low bits hold, beside its slot.
+BANDS = 1 << 16
+
+
+def _size_band(percent: int) -> Column:
+    """A step of the set's size. Sets whose steps differ by more than 2 are too unlike in size for a link."""
+    ratio = max(100 / percent, 1.01) * 1.001  # a little wider than needed, for what logarithms round
+    return F.floor(F.log(F.col("n_shingles").cast("double")) * (2 / log(ratio))).cast("int")
+
+
+def _keyed(classes: DataFrame, chunks: int, chunk_len: int, errors: int, percent: int) -> DataFrame:
+    """One line for each class and key; ``slot`` holds the number of the key times BANDS plus the size band."""
+
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             signature = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(ids), -1)
+            band = batch.column(2).to_numpy(zero_copy_only=False)
             for at in range(0, len(ids), 4096):
                 keys = bucket_keys(signature[at : at + 4096], chunks, chunk_len, errors)
-                slots = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
+                slots = (np.arange(keys.shape[1], dtype=np.int32) * BANDS + band[at : at + 4096, None]).astype(np.int32).ravel()
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.view(np.int64).ravel()), pa.array(np.repeat(ids[at : at + 4096], keys.shape[1])), pa.array(slots)],
                     names=["key", "id", "slot"],
                 )
 
-    return classes.select("id", "signature").mapInArrow(run, "key long, id long, slot int")
+    return classes.select("id", "signature", _size_band(percent).alias("band")).mapInArrow(run, "key long, id long, slot int")
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -229,11 +243,13 @@ def near_duplicates(
     group = ["n_shingles", "set_a", "set_b"]
     classes, _ = scratch.write(named.groupBy(*group).agg(F.min_by("signature", "id").alias("signature"), F.min("id").alias("id")))
 
-    keyed = _keyed(classes, chunks, chunk_len, errors)
-    hubs = keyed.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).filter("hub < last").select("key", "hub")
-    met, _ = scratch.write(keyed.join(hubs, "key"))
+    keyed = _keyed(classes, chunks, chunk_len, errors, percent)
+    # a key's lines have one slot, so the least and the largest differ as their size bands do
+    spread = [F.min("id").alias("hub"), F.max("id").alias("last"), F.count("*").alias("n"), (F.max("slot") - F.min("slot")).alias("apart")]
+    hubs = keyed.groupBy("key").agg(*spread).filter("hub < last AND (n > 2 OR apart <= 2)").select("key", "hub")
+    met, _ = scratch.write_narrow(keyed.join(hubs, "key").withColumn("slot", F.shiftright("slot", 16)))
 
-    first, _ = scratch.write(met.filter("id > hub").select(F.col("id").alias("u"), F.col("hub").alias("v")).distinct())
+    first, _ = scratch.write_narrow(met.filter("id > hub").select(F.col("id").alias("u"), F.col("hub").alias("v")).distinct())
     members = first.select(F.col("u").alias("id")).union(first.select(F.col("v").alias("id"))).distinct()
     sets, _ = scratch.write(_sets_of(docs.filter("id IS NOT NULL"), members, shingle).dropDuplicates(["id"]))
     linked, _ = scratch.write(_confirmed(first, sets, percent))
@@ -241,7 +257,7 @@ def near_duplicates(
 
     labelled = met.join(stars, "id", "left").select("key", "slot", "id", F.coalesce("component", "id").alias("component"))
     mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    open_rows, _ = scratch.write(labelled.join(mixed.select("key"), "key", "left_semi"))
+    open_rows, _ = scratch.write_narrow(labelled.join(mixed.select("key"), "key", "left_semi"))
     across, _ = scratch.write(_met_across(open_rows, sets, classes, chunks, chunk_len, errors, distance, percent))
     more, _ = scratch.write(_confirmed(across, sets, percent))
     if not more.isEmpty():
