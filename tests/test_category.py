@@ -4,6 +4,7 @@ from hypothesis import strategies as st
 from pyspark.ml.feature import IndexToString
 from pyspark.sql import functions as F
 
+from gapwise.operators import category
 from gapwise.operators.category import (
     CategoryIndexer,
     CategoryModel,
@@ -107,6 +108,34 @@ def test_unseen_hot_value_is_spread(spark, letters):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
+def test_repeated_dictionary_is_not_broadcast(spark, monkeypatch):
+    """What goes to every executor is a dictionary that is small in memory, never its repeated lines."""
+    df = spark.range(0, 6000, 1, 4).select(F.col("id").alias("k"), F.concat(F.lit("v"), F.col("id") % 3000).alias("v"))
+    model = CategoryIndexer(inputCols=["v"], outputCols=["i"]).fit(df)
+    plan = lambda out: out._jdf.queryExecution().executedPlan().toString()
+    small = model.transform(df)
+    assert "BroadcastHashJoin" in plan(small) and "Generate explode" not in plan(small)
+    monkeypatch.setattr(category, "BROADCAST_BYTES", 3000 * category.LINE_BYTES)
+    monkeypatch.setattr(category, "LINES_PER_TASK", 2000)
+    large = model.transform(df)
+    assert "SortMergeJoin" in plan(large) and "Broadcast" not in plan(large)
+    assert large.rdd.getNumPartitions() == 12
+    assert large.exceptAll(small).isEmpty() and small.exceptAll(large).isEmpty()
+    unknown = CategoryModel(inputCols=["v"], outputCols=["i"], dictionaryPath=model.getOrDefault("dictionaryPath"), sizes=[3000])
+    assert "SortMergeJoin" in plan(unknown.transform(df)) and unknown.transform(df).exceptAll(small).isEmpty()
+
+
+def test_hot_values_of_a_large_dictionary_are_spread(spark, letters, monkeypatch):
+    """One value, seen or not, and null rows go to several tasks where the dictionary is not broadcast."""
+    monkeypatch.setattr(category, "BROADCAST_BYTES", 0)
+    model = CategoryIndexer(inputCols=["v"], outputCols=["i"]).fit(letters)
+    for hot, place in (("A", 0), ("new", 4), (None, 4)):
+        out = model.transform(spark.range(0, 8000, 1, 8).select(F.col("id").alias("k"), F.lit(hot).cast("string").alias("v")))
+        sizes = [r["n"] for r in out.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n")).collect()]
+        assert sum(sizes) == 8000 and len(sizes) > 1 and max(sizes) < 6000
+        assert out.filter(F.col("i") != place).isEmpty()
+
+
 def test_saved_model_holds_its_dictionary(spark, letters, tmp_path):
     model = CategoryIndexer(inputCols=["v"], outputCols=["i"]).fit(letters)
     model.save(str(tmp_path / "m"))
