@@ -42,6 +42,8 @@ from gapwise.scratch import Scratch
 
 #: Shingles that are hashed together, which bounds a task's memory besides the largest document.
 GROUP_SHINGLES = 1 << 18
+#: Bits of one bitmap of Spark's; for each wanted id; and at most in all (32 MB in each executor).
+BITMAP, BITS_PER_ID, MOST_BITS = 1 << 15, 64, 1 << 28
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -128,7 +130,24 @@ def _keyed(classes: DataFrame, chunks: int, chunk_len: int, errors: int) -> Data
     return classes.select("id", "signature").mapInArrow(run, "key long, id long, slot int")
 
 
+def _perhaps_among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is one of ``ids``, and about one in ``BITS_PER_ID`` others; no row is shuffled.
+
+    The ids' hashes are marked in a bitmap, of which every executor gets a copy; where it has ``MOST_BITS``
+    and there are more ids than suit it, more other rows come through.
+    """
+    bits = min(max(BITMAP, 1 << (BITS_PER_ID * ids.count()).bit_length()), MOST_BITS)
+    place = F.pmod(F.xxhash64("id"), F.lit(bits))
+    split = {"_part": F.floor(place / BITMAP), "_bit": F.pmod(place, F.lit(BITMAP))}
+    marked = ids.select(*[c.alias(name) for name, c in split.items()]).groupBy("_part").agg(F.bitmap_construct_agg("_bit").alias("_marks"))
+    byte = F.conv(F.hex(F.substring("_marks", F.shiftright("_bit", 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    found = docs.withColumns(split).join(F.broadcast(marked), "_part")
+    return found.filter(F.getbit(byte, F.pmod("_bit", F.lit(8)).cast("int")) == 1).select(*docs.columns)
+
+
 def _sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
+    """``id, items``, the set of each of ``ids``. Texts stay where they are read; only sets are shuffled."""
+
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
@@ -137,8 +156,8 @@ def _sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "items"])
 
     # repeated ids carry one set each; the smallest of equal-id texts stands for the id's class
-    found = docs.join(ids, "id", "left_semi").select("id", "text")
-    return found.mapInArrow(run, "id long, items array<long>")
+    found = _perhaps_among(docs.select("id", "text"), ids).mapInArrow(run, "id long, items array<long>")
+    return found.dropDuplicates(["id"]).join(ids, "id", "left_semi")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -234,8 +253,8 @@ def near_duplicates(
     met, _ = scratch.write_narrow(keyed.join(hubs, "key"))
 
     first, _ = scratch.write_narrow(met.filter("id > hub").select(F.col("id").alias("u"), F.col("hub").alias("v")).distinct())
-    members = first.select(F.col("u").alias("id")).union(first.select(F.col("v").alias("id"))).distinct()
-    sets, _ = scratch.write(_sets_of(docs.filter("id IS NOT NULL"), members, shingle).dropDuplicates(["id"]))
+    members, _ = scratch.write_narrow(first.select(F.col("u").alias("id")).union(first.select(F.col("v").alias("id"))).distinct())
+    sets, _ = scratch.write(_sets_of(docs.filter("id IS NOT NULL"), members, shingle))
     linked, _ = scratch.write(_confirmed(first, sets, percent))
     stars = components(linked, scratch)
 
