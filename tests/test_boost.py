@@ -1,7 +1,9 @@
 import json
 import math
+import tracemalloc
 
 import numpy as np
+import pyarrow as pa
 
 import pytest
 from pyspark.ml.classification import GBTClassifier
@@ -179,6 +181,34 @@ def test_weighted_cuts_stand_at_even_weight(spark, monkeypatch):
     df.unpersist()
 
 
+def test_memory_of_cut_points_does_not_grow_with_rows():
+    """What a task holds is bounded by settings, in batches of any number of rows; nothing of the weight is lost."""
+    rows, points = 300_000, 64 * 256
+    draw = np.random.default_rng(3)
+
+    def batches(n):
+        for _ in range(n):
+            flat = pa.array(draw.random(2 * rows))
+            values = pa.ListArray.from_arrays(np.arange(0, 2 * rows + 1, 2, dtype=np.int32), flat)
+            none = pa.ListArray.from_arrays(np.zeros(rows + 1, np.int32), pa.array([], pa.int32()))
+            columns = [pa.array(np.ones(rows, np.int8)), pa.nulls(rows, pa.int32()), none, values, pa.array(np.ones(rows))]
+            yield pa.RecordBatch.from_arrays(columns, names=["kind", "size", "indices", "values", "weight"])
+
+    def most(n):
+        tracemalloc.start()
+        weight, lines = 0.0, 0
+        for batch in ft.summaries(batches(n), points, math.nan, "missing"):
+            weight += sum(w.values.to_numpy().sum() for w in batch.column(4))
+            lines += batch.num_rows
+        peak = tracemalloc.get_traced_memory()[1] - 8 * 2 * rows  # numbers of the batch itself
+        tracemalloc.stop()
+        assert weight == pytest.approx(n * 2 * rows) and lines >= 2
+        return peak / 1e6
+
+    few, many = most(4), most(16)
+    assert many < 45 and many < 1.5 * few + 16
+
+
 def test_bins_count_cuts_at_or_below_and_missing_is_apart(spark):
     df = spark.createDataFrame([(0.5,), (1.0,), (2.5,), (None,)], "b0 double")
     out = bin_columns(df.withColumn("b1", F.col("b0")), ["b0", "b1"], [[1.0, 2.0], []])
