@@ -12,10 +12,11 @@ How buckets are worked off without emitting all their pairs:
 1. Documents of equal sets become one class, represented by its smallest id.
 2. Every member of a bucket is checked against the bucket's smallest id, exactly, on sets.
 3. Components are formed. A bucket within one component has nothing left to find.
-4. Buckets that hold several components are joined with themselves. The join itself asks for
-   different components, for the first bucket in which a pair meets, for the signature-distance
-   threshold and for a bound on the overlap from 16-bit forms of the sets, which never rules
-   out a link. So what comes out of it is hardly more than links, and these are checked exactly.
+4. In buckets that hold several components, rows beside the largest one are joined with all rows.
+   The join itself asks for different components, for the signature-distance threshold, for the
+   first bucket in which a pair meets and for two bounds on the overlap, from parities and from
+   16-bit forms of the sets, which never rule out a link. So what comes out of it is hardly more
+   than links, and these are checked exactly.
    No pair that meets in a bucket and could join two components is left out, unless its
    signatures differ in more than ``distance`` places.
 
@@ -44,6 +45,8 @@ from gapwise.scratch import Scratch
 GROUP_SHINGLES = 1 << 18
 #: Bits of one bitmap of Spark's; for each wanted id; and at most in all (32 MB in each executor).
 BITMAP, BITS_PER_ID, MOST_BITS = 1 << 15, 64, 1 << 28
+#: Bits of a set's parities, as 64-bit numbers; 1,024 tell sets of up to about 1,200 items apart.
+PARITY_BITS = 1 << 10
 
 
 def shingles(text: str | None, size: int) -> np.ndarray:
@@ -67,6 +70,15 @@ def signatures(sets: list[np.ndarray], length: int) -> np.ndarray:
     return out
 
 
+def parities(items: np.ndarray) -> np.ndarray:
+    """A bit for each of ``PARITY_BITS`` parts of the hashes: whether the set has an odd number of items there.
+
+    Two sets' bits differ in no more places than there are items in one of the sets alone.
+    """
+    odd = np.bincount((items >> np.uint64(65 - PARITY_BITS.bit_length())).astype(np.int64), minlength=PARITY_BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def bucket_keys(signature: np.ndarray, chunks: int, chunk_len: int, errors: int) -> np.ndarray:
     """One row of keys for each signature: every chunk with every choice of ``errors`` places left out."""
     keys = []
@@ -146,17 +158,18 @@ def _perhaps_among(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
-    """``id, items``, the set of each of ``ids``. Texts stay where they are read; only sets are shuffled."""
+    """``id, items, odd``: the set of each of ``ids`` and its parities. Texts stay where they are read; only sets are shuffled."""
 
     def run(batches):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                sets = [shingles(t, shingle).view(np.int64) for t in part.column(1).to_pylist()]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sets, pa.list_(pa.int64()))], names=["id", "items"])
+                sets = [shingles(t, shingle) for t in part.column(1).to_pylist()]
+                numbers = [pa.array(x, pa.list_(pa.int64())) for x in ([s.view(np.int64) for s in sets], [parities(s) for s in sets])]
+                yield pa.RecordBatch.from_arrays([part.column(0), *numbers], names=["id", "items", "odd"])
 
     # repeated ids carry one set each; the smallest of equal-id texts stands for the id's class
-    found = _perhaps_among(docs.select("id", "text"), ids).mapInArrow(run, "id long, items array<long>")
+    found = _perhaps_among(docs.select("id", "text"), ids).mapInArrow(run, "id long, items array<long>, odd array<long>")
     return found.dropDuplicates(["id"]).join(ids, "id", "left_semi")
 
 
@@ -185,38 +198,59 @@ def _places_apart(a: str, b: str) -> Column:
     return F.bit_count((x.bitwiseAND(low) + low).bitwiseOR(x).bitwiseAND(high))
 
 
+def _open_rows(labelled: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components; ``beside``: not of the component that most of a bucket's rows have.
+
+    labelled: key, slot, id, component.
+    """
+    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("rows"))
+    main = parts.groupBy("key").agg(F.max(F.struct("rows", "component")).alias("main"), F.count("*").alias("parts"))
+    main = main.filter("parts > 1").select("key", F.col("main.component").alias("main"))
+    return labelled.join(main, "key").select("key", "slot", "id", "component", (F.col("component") != F.col("main")).alias("beside"))
+
+
 def _met_across(rows: DataFrame, sets: DataFrame, classes: DataFrame, chunks: int, chunk_len: int, errors: int, distance: int, percent: int) -> DataFrame:
-    """Pairs (u, v) of different components in one bucket that may be links; rows: key, slot, id, component."""
+    """Pairs (u, v) of different components in one bucket that may be links; rows: those of ``_open_rows``.
+
+    Only rows ``beside`` the main component meet all rows of their bucket, so that no more than twice the
+    pairs of different components are looked at, however large the main component is. No column of the
+    condition is nullable: tests for null would make the join's method too long for the JVM to compile (8,000
+    bytes), and each pair would take many times as long. Before two sets are compared, their parities are: no
+    link differs in more of them than it may have items in one of its sets alone.
+    """
     ways = comb(chunk_len, errors)
-    packed = [f"s{c}" for c in range(chunks)]
+    packed, odd = [f"s{c}" for c in range(chunks)], [f"odd{k}" for k in range(PARITY_BITS // 64)]
     short = F.array_distinct(F.transform("items", lambda x: (x.bitwiseAND(F.lit(0xFFFF)) - 32768).cast("short")))
     full = (
-        rows.join(sets.select("id", F.size("items").alias("n"), short.alias("short")), "id")
+        rows.join(sets.select("id", F.size("items").alias("n"), short.alias("short"), *[F.col("odd")[k].alias(name) for k, name in enumerate(odd)]), "id")
         .join(classes.select("id", *[c.alias(name) for name, c in zip(packed, _packed(chunks, chunk_len))]), "id")
-        .withColumn("lost", F.col("n") - F.size("short"))
+        .withColumns({"lost": F.col("n") - F.size("short"), "chunk": F.floor(F.col("slot") / ways).cast("int"), "way": F.col("slot") % ways})
     )
+    never_null = {c: F.coalesce(c, F.lit(0)) for c in ("id", "component", "n", "lost", "chunk", "way", *packed, *odd)}
+    never_null |= {"beside": F.coalesce("beside", F.lit(False)), "short": F.coalesce("short", F.array().cast("array<short>"))}
 
-    def side(x: str) -> DataFrame:
-        return full.select(F.col("key").alias(f"{x}key"), *[F.col(c).alias(f"{x}{c}") for c in ("slot", "id", "component", "n", "lost", "short", *packed)])
+    def side(x: str, rows: DataFrame) -> DataFrame:
+        return rows.select(F.col("key").alias(f"{x}key"), *[c.alias(f"{x}{name}") for name, c in never_null.items()])
 
     apart = [_places_apart(f"a{c}", f"b{c}") for c in packed]
     # the first chunk in which the pair may meet, and there the first choice of places left out
     first = F.lit(True)
     for c in range(chunks):
-        first = first & ((F.col("aslot") < (c + 1) * ways) | (apart[c] > errors))
-        own = (F.col("aslot") >= c * ways) & (F.col("aslot") < (c + 1) * ways)
-        first = first & (~own | (apart[c] == errors) | (F.col("aslot") == c * ways)) if errors == 1 else first
+        first = first & ((F.col("achunk") <= c) | (apart[c] > errors))
+        first = first & ((F.col("achunk") != c) | (F.col("away") == 0) | (F.col(f"a{packed[c]}") != F.col(f"b{packed[c]}"))) if errors == 1 else first
+    unlike = reduce(add, [F.bit_count(F.col(f"a{k}").bitwiseXOR(F.col(f"b{k}"))) for k in odd])
     most = F.size(F.array_intersect("ashort", "bshort")) + F.least("alost", "blost")
     fits = (
-        (F.col("aid") > F.col("bid"))
-        & (F.col("acomponent") != F.col("bcomponent"))
+        (F.col("acomponent") != F.col("bcomponent"))
+        & (~F.col("abeside") | (F.col("aid") > F.col("bid")))
         & (100 * F.least("an", "bn") >= percent * F.greatest("an", "bn"))
         & (reduce(add, apart) <= distance)
         & first
+        & ((100 + percent) * unlike <= (100 - percent) * (F.col("an") + F.col("bn")))
         & ((100 + percent) * most >= percent * (F.col("an") + F.col("bn")))
     )
-    met = side("a").join(side("b"), (F.col("akey") == F.col("bkey")) & fits)
-    return met.select(F.col("aid").alias("u"), F.col("bid").alias("v")).distinct()
+    met = side("a", full).join(side("b", full.filter("beside")), (F.col("akey") == F.col("bkey")) & fits)
+    return met.select(F.greatest("aid", "bid").alias("u"), F.least("aid", "bid").alias("v")).distinct()
 
 
 def near_duplicates(
@@ -259,8 +293,7 @@ def near_duplicates(
     stars = components(linked, scratch)
 
     labelled = met.join(stars, "id", "left").select("key", "slot", "id", F.coalesce("component", "id").alias("component"))
-    mixed = labelled.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    open_rows, _ = scratch.write_narrow(labelled.join(mixed.select("key"), "key", "left_semi"))
+    open_rows, _ = scratch.write_narrow(_open_rows(labelled))
     across, _ = scratch.write(_met_across(open_rows, sets, classes, chunks, chunk_len, errors, distance, percent))
     more, _ = scratch.write(_confirmed(across, sets, percent))
     if not more.isEmpty():
